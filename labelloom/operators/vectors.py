@@ -30,14 +30,24 @@ class FittedFeatures:
     """Fitted branches: the idf table (``selected`` marks the kept terms) and vector stages."""
 
     def __init__(self, branches: Sequence[FT.Branch], idf: DataFrame, stages: PipelineModel,
-                 size: int):
+                 size: int, counts: DataFrame | None = None):
         self.branches, self.idf, self.stages, self.size = tuple(branches), idf, stages, size
+        self.counts = counts
 
-    def transform(self, docs: DataFrame, key: str = "Id") -> DataFrame:
-        """Add ``features``. ``key`` must identify a row of ``docs``."""
+    def transform(self, docs: DataFrame, key: str = "Id", counts: DataFrame | None = None
+                  ) -> DataFrame:
+        """Add ``features``. ``key`` must identify a row of ``docs``.
+
+        ``counts`` may hand over the stored term counts of the same documents.
+        """
         branches = self.branches
-        pairs = FT.term_counts(FT.doc_terms(docs, branches, [key]))
-        rest = FT.with_idf(pairs, self.idf).filter(~F.col("selected"))
+        if counts is None:
+            counts = FT.doc_terms(docs, branches, [key])
+            if not scale.fits(self.idf):
+                # The large table is joined in two passes; do not cut the texts twice.
+                counts = scale.stage(counts, "counts")
+        rest = FT.with_idf(FT.term_counts(counts).select(key, "branch", "term", "tf"),
+                           self.idf.filter(~F.col("selected")))
         squares = F.col("tf") * F.col("idf") * F.col("tf") * F.col("idf")
         lengths = rest.groupBy(key).agg(*[
             F.sqrt(F.sum(F.when(F.col("branch") == b.name, squares).otherwise(0.0)))
@@ -93,23 +103,22 @@ def _vector_stages(branches: Sequence[FT.Branch], chosen: dict[str, list]) -> Pi
 
 def fit_idf(docs: DataFrame, branches: Sequence[FT.Branch], label: str = "Category",
             key: str = "Id") -> tuple[DataFrame, DataFrame]:
-    """The stored (document, term) counts and the stored idf table of a training set."""
-    counted = scale.stage(FT.doc_terms(docs, branches, [key, label]), "counts")
-    pairs = FT.term_counts(counted)
-    idf = scale.stage(FT.inverse_frequency(FT.vocabulary(pairs), docs), "idf")
-    return pairs, idf
+    """The stored term counts per document and the stored idf table of a training set."""
+    counts = scale.stage(FT.doc_terms(docs, branches, [key, label]), "counts")
+    vocab = FT.vocabulary(FT.term_counts(counts))
+    return counts, scale.stage(FT.inverse_frequency(vocab, docs), "idf")
 
 
 def fit_features(docs: DataFrame, branches: Sequence[FT.Branch], k: int, score: str = "chi2",
                  label: str = "Category", key: str = "Id") -> FittedFeatures:
     """Weigh all terms, keep the ``k`` best against the label, prepare the vector stages."""
-    pairs, idf = fit_idf(docs, branches, label, key)
-    scores = SCORES[score](FT.weights(pairs, idf, key), docs, label)
-    return with_selection(branches, idf, scale.pin(S.select_k_best(scores, k)))
+    counts, idf = fit_idf(docs, branches, label, key)
+    scores = SCORES[score](FT.weights(FT.term_counts(counts), idf, key), docs, label)
+    return with_selection(branches, idf, scale.pin(S.select_k_best(scores, k)), counts)
 
 
-def with_selection(branches: Sequence[FT.Branch], idf: DataFrame,
-                   best: DataFrame) -> FittedFeatures:
+def with_selection(branches: Sequence[FT.Branch], idf: DataFrame, best: DataFrame,
+                   counts: DataFrame | None = None) -> FittedFeatures:
     """Fitted features for a chosen set of terms.
 
     The chosen terms are the width of the vectors, which Spark ML keeps on the driver anyway.
@@ -132,4 +141,5 @@ def with_selection(branches: Sequence[FT.Branch], idf: DataFrame,
     marked = scale.stage(
         scale.attach(idf, placed, ["branch", "term"])
         .withColumn("selected", F.col("position").isNotNull()), "terms")
-    return FittedFeatures(branches, marked, _vector_stages(branches, chosen), position)
+    return FittedFeatures(branches, marked, _vector_stages(branches, chosen), position,
+                          counts)

@@ -538,8 +538,8 @@ def pairs_of(docs: DataFrame, *branches: FT.Branch) -> DataFrame:
 
 
 def weighted_of(docs: DataFrame, *branches: FT.Branch) -> tuple[DataFrame, DataFrame]:
-    pairs, idf = V.fit_idf(docs, branches)
-    return FT.weights(pairs, idf), idf
+    counts, idf = V.fit_idf(docs, branches)
+    return FT.weights(FT.term_counts(counts), idf), idf
 
 
 @query("term_counts", f"""

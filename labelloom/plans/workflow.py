@@ -19,7 +19,7 @@ from labelloom.operators import metrics as M
 from labelloom.operators import selection as S
 from labelloom.operators import tuning
 from labelloom.operators import vectors as V
-from labelloom.operators.features import weights
+from labelloom.operators.features import term_counts, weights
 from labelloom.operators.split import holdout
 from labelloom.plans import config
 from labelloom.sources import articles as A
@@ -128,8 +128,9 @@ def train(docs: DataFrame, params: dict | None = None, branches: Sequence | None
             if b.name != params["without"]]
     fitted = V.fit_features(rows, used, params["k"], params["score"])
     classes = tuning.label_table(rows)
-    vectors = scale.stage(tuning.with_label(fitted.transform(rows), classes)
-                          .select("Id", "label", "features"), "vectors")
+    vectors = fitted.transform(rows, counts=fitted.counts)
+    vectors = scale.stage(tuning.with_label(vectors, classes).select("Id", "label", "features"),
+                          "vectors")
     return LabelModel(fitted, tuning.classifier(params).fit(vectors), classes, params)
 
 
@@ -186,15 +187,14 @@ def sweep_selection(docs: DataFrame, branches: Sequence, sizes: Sequence[int] =
                     n_estimators: int = 25, max_depth: int | None = 10) -> DataFrame:
     """``(k, score)``: out-of-bag score of the ensemble for each number of kept terms."""
     docs = A.labelled(docs)
-    pairs, idf = V.fit_idf(docs, branches)
-    scores = S.chi2_scores(scale.stage(
-        weights(pairs, idf).select("branch", "term", "Category", "w"), "weights"), docs)
+    counts, idf = V.fit_idf(docs, branches)
+    scores = S.chi2_scores(weights(term_counts(counts), idf), docs)
     classes = tuning.label_table(docs)
 
     def oob(best: DataFrame) -> float:
         fitted = V.with_selection(branches, idf, best)
-        vectors = scale.stage(tuning.with_label(fitted.transform(docs), classes)
-                              .select("Id", "label", "features"), "vectors")
+        vectors = tuning.with_label(fitted.transform(docs, counts=counts), classes)
+        vectors = scale.stage(vectors.select("Id", "label", "features"), "vectors")
         trees = C.BaggedTrees(n_estimators, max_depth)
         return trees.oob_curve(vectors, n_estimators).first()["oob_score"]
 

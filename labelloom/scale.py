@@ -9,9 +9,12 @@ from collections.abc import Callable, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
+from pyspark.sql.pandas.types import to_arrow_schema
 
-# A side of a join is broadcast only when its counted rows stay within this bound.
+# A side of a join is broadcast only when its counted rows and bytes stay within these bounds.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 # A key is hot when it holds at least 1/HOT_KEYS of the rows; there can be no more such keys.
 HOT_KEYS = 1_000
 SALTS = 64
@@ -56,9 +59,24 @@ def spread(source: DataFrame, key: str) -> DataFrame:
     return source if source.rdd.getNumPartitions() >= cores else source.repartition(cores, key)
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when the table holds at most ``max_rows`` rows; stops counting beyond."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _width(field: ST.StructField) -> Column:
+    if isinstance(field.dataType, (ST.StringType, ST.BinaryType)):
+        return F.coalesce(F.octet_length(field.name), F.lit(0))
+    if isinstance(field.dataType, (ST.ArrayType, ST.MapType, ST.StructType)):
+        return F.coalesce(F.length(F.to_json(F.struct(field.name))), F.lit(0))
+    return F.lit(8)
+
+
+def fits(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    """True when a stored table is counted small enough to broadcast, in rows and in bytes.
+
+    Rows are counted first (for columnar files from their footers); bytes only when these are few.
+    """
+    if df.count() > (BROADCAST_ROWS if max_rows is None else max_rows):
+        return False
+    width = sum((_width(f) for f in df.schema.fields), F.lit(0))
+    size = df.agg(F.sum(width)).first()[0] or 0
+    return size <= (BROADCAST_BYTES if max_bytes is None else max_bytes)
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], share: int = HOT_KEYS) -> DataFrame:
@@ -81,7 +99,10 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
     spread = F.col("_hot")
     for key in on:
         spread = spread | F.col(key).isNull()
-    salt = F.when(spread, F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    # The salt depends on the row alone, so a task that is run again salts as before.
+    rest = [f.name for f in left.schema.fields if f.name not in on
+            and isinstance(f.dataType, (ST.AtomicType, ST.ArrayType))] or on
+    salt = F.when(spread, F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int"))
     left = left.join(hot, on, "left").withColumn("_salt", F.coalesce(salt, F.lit(0))).drop("_hot")
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
     right = (right.join(hot, on, "left")
@@ -92,7 +113,7 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
 def attach(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left",
            max_rows: int | None = None) -> DataFrame:
     """Join a side that is expected to be small: broadcast when counted small, salted otherwise."""
-    if fits(small, BROADCAST_ROWS if max_rows is None else max_rows):
+    if fits(small, max_rows):
         return big.join(F.broadcast(small), list(on), how)
     return skew_join(big, small, on, how)
 
@@ -104,10 +125,12 @@ def local_table(spark: SparkSession, columns: dict[str, Sequence], schema: str)
 
 def pin(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
     """Fix a small computed table: held in the plan when counted small, else written out."""
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows <= max_rows:
-        return df.sparkSession.createDataFrame(rows, df.schema)
-    return stage(df, "pinned")
+    rows = df.take(max_rows + 1)
+    if len(rows) > max_rows:
+        return stage(df, "pinned")
+    table = pa.Table.from_pylist([r.asDict(recursive=True) for r in rows],
+                                 schema=to_arrow_schema(df.schema))
+    return df.sparkSession.createDataFrame(table, df.schema)
 
 
 def running_totals(df: DataFrame, order: Sequence[Column | str], sums: Sequence[str],

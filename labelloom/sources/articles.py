@@ -43,7 +43,7 @@ def read_articles(spark: SparkSession, path: str, fmt: str = "csv",
                   schema: ST.StructType | None = None) -> DataFrame:
     """Articles from CSV or any columnar source Spark reads."""
     if fmt == "csv":
-        return read_csv(spark, path, schema)
+        return scale.spread(read_csv(spark, path, schema), "Id")
     reader = spark.read.format(fmt)
     return scale.spread((reader.schema(schema) if schema else reader).load(path), "Id")
 
