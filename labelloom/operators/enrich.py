@@ -57,13 +57,11 @@ RARE_POSTINGS = 200
 POSTINGS_GROWTH = 50
 
 
-def _distinct_texts(df: DataFrame, key: str, text: str, stop_words: Iterable[str]) -> DataFrame:
-    """One row per distinct set of terms: the set, its hash, its lowest key, how many rows."""
+def _hashed_terms(df: DataFrame, key: str, text: str, stop_words: Iterable[str]) -> DataFrame:
+    """Key, sorted distinct terms, and a hash of these."""
     terms = F.array_sort(F.array_distinct(T.words(F.col(text), stop_words)))
     return (df.select(key, terms.alias("terms"))
-            .withColumn("h", F.sha2(F.array_join("terms", " "), 256))
-            .groupBy("h").agg(F.min(key).alias(key), F.first("terms").alias("terms"),
-                              F.count(F.lit(1)).alias("copies")))
+            .withColumn("h", F.sha2(F.array_join("terms", " "), 256)))
 
 
 def _best_by_rare_terms(asked_terms: DataFrame, postings: DataFrame, known: DataFrame,
@@ -83,8 +81,9 @@ def _best_by_rare_terms(asked_terms: DataFrame, postings: DataFrame, known: Data
         .groupBy("h", "cit_id").agg(F.sum("idf").alias("rare_score")), "candidates")
     best_rare = candidates.groupBy("h").agg(F.max("rare_score").alias("best_rare"))
     # A candidate can gain at most ``bound``, so those further behind cannot win.
-    hopeful = (candidates.join(best_rare, "h").join(profile, "h")
-               .filter(F.col("rare_score") + F.col("bound") >= F.col("best_rare") - 1e-9))
+    hopeful = scale.stage(
+        candidates.join(best_rare, "h").join(profile, "h")
+        .filter(F.col("rare_score") + F.col("bound") >= F.col("best_rare") - 1e-9), "hopeful")
     scored = scale.skew_join(hopeful, known.select("cit_id", "terms"), ["cit_id"])
     gained = F.aggregate(
         F.filter("frequent", lambda s: F.array_contains(F.col("terms"), s["term"])),
@@ -108,10 +107,12 @@ def most_relevant(articles: DataFrame, corpus: DataFrame, title: str = "Title",
     lists until every article is settled. Equal texts are looked up once.
     """
     stop_words = tuple(stop_words)
-    keyed = articles.select("Id", title)
-    asked = scale.stage(_distinct_texts(keyed, "Id", title, stop_words)
-                        .select("h", "terms"), "asked")
-    known = scale.stage(_distinct_texts(corpus, "cit_id", corpus_title, stop_words), "known")
+    hashed = scale.stage(_hashed_terms(articles, "Id", title, stop_words), "articles")
+    asked = hashed.groupBy("h").agg(F.first("terms").alias("terms"))
+    known = scale.stage(
+        _hashed_terms(corpus, "cit_id", corpus_title, stop_words).groupBy("h").agg(
+            F.min("cit_id").alias("cit_id"), F.first("terms").alias("terms"),
+            F.count(F.lit(1)).alias("copies")), "corpus")
     n = corpus.agg(F.count(F.lit(1))).scalar()
 
     wanted = asked.select(F.explode("terms").alias("term")).distinct()
@@ -135,16 +136,17 @@ def most_relevant(articles: DataFrame, corpus: DataFrame, title: str = "Title",
         if limit >= longest:
             break
         still_open = scale.stage(still_open.join(settled.select("h"), "h", "left_anti"), "open")
+        if still_open.isEmpty():
+            break
         limit *= POSTINGS_GROWTH
-    hashed = keyed.select("Id", F.sha2(F.array_join(F.array_sort(F.array_distinct(
-        T.words(F.col(title), stop_words))), " "), 256).alias("h"))
-    return scale.skew_join(hashed, found, ["h"], "left").select("Id", "cit_id", "relevance")
+    return scale.skew_join(hashed.select("Id", "h"), found, ["h"], "left").select(
+        "Id", "cit_id", "relevance")
 
 
 def lookup(articles: DataFrame, corpus: DataFrame, title: str = "Title",
            corpus_title: str = "title", stop_words: Iterable[str] = ()) -> DataFrame:
     """The side table ``(Id, Terms, Keywords)`` from the most relevant record per article."""
-    found = most_relevant(articles, corpus, title, corpus_title, stop_words)
+    found = scale.stage(most_relevant(articles, corpus, title, corpus_title, stop_words), "found")
     records = corpus.select("cit_id", "mesh", "keyword_lists")
     return keywords_and_terms(scale.skew_join(found, records, ["cit_id"], "left"))
 
