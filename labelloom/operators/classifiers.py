@@ -68,6 +68,14 @@ def _member_votes(df: DataFrame, members: Sequence[PipelineModel], hard: bool) -
     return df.withColumn("_votes", F.array(*names)).drop(*names)
 
 
+# More members than this in one plan make it slow to optimise.
+MEMBERS_PER_PLAN = 40
+
+
+def _chunks(count: int) -> list[range]:
+    return [range(i, min(i + MEMBERS_PER_PLAN, count)) for i in range(0, count, MEMBERS_PER_PLAN)]
+
+
 def _best_class(totals: Column) -> Column:
     return (F.array_position(totals, F.array_max(totals)) - 1).cast("double")
 
@@ -82,13 +90,18 @@ class Ensemble:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Add ``class_votes`` (array, one entry per class) and ``prediction``."""
-        votes = _member_votes(df, self.members, self.hard)
-        weighted = F.zip_with("_votes", F.array(*[F.lit(w) for w in self.weights]),
-                              lambda v, w: F.transform(v, lambda p: p * w))
-        start = F.array(*[F.lit(0.0)] * self.classes)
-        totals = F.aggregate(weighted, start, lambda a, v: F.zip_with(a, v, lambda x, y: x + y))
-        return (votes.withColumn("class_votes", totals).drop("_votes")
-                .withColumn("prediction", _best_class(F.col("class_votes"))))
+        columns = df.columns
+        df = df.withColumn("class_votes", F.array(*[F.lit(0.0)] * self.classes))
+        for i, chunk in enumerate(_chunks(len(self.members))):
+            if i:
+                df = scale.stage(df, "votes")
+            votes = _member_votes(df, [self.members[m] for m in chunk], self.hard)
+            weighted = F.zip_with("_votes", F.array(*[F.lit(self.weights[m]) for m in chunk]),
+                                  lambda v, w: F.transform(v, lambda p: p * w))
+            totals = F.aggregate(weighted, F.col("class_votes"),
+                                 lambda a, v: F.zip_with(a, v, lambda x, y: x + y))
+            df = votes.select(*columns, totals.alias("class_votes"))
+        return df.withColumn("prediction", _best_class(F.col("class_votes")))
 
     def save(self, folder: str) -> None:
         stages = [stage for member in self.members for stage in member.stages]
@@ -260,10 +273,15 @@ class BaggedTrees:
 
     def votes(self, ensemble: Ensemble, df: DataFrame) -> DataFrame:
         """``(Id, tree, class, vote)``; trees that saw the row vote 0."""
-        voted = _member_votes(df.select("Id", "features"), ensemble.members, ensemble.hard)
-        per_tree = voted.select("Id", F.posexplode("_votes").alias("tree", "_vote"))
+        out = None
+        for chunk in _chunks(len(ensemble.members)):
+            voted = _member_votes(df.select("Id", "features"),
+                                  [ensemble.members[m] for m in chunk], ensemble.hard)
+            part = voted.select("Id", F.posexplode("_votes").alias("tree", "_vote")).withColumn(
+                "tree", F.col("tree") + chunk.start)
+            out = part if out is None else out.unionByName(part)
         unseen = F.when(bag_weight(F.col("tree"), self.seed) == 0, 1.0).otherwise(0.0)
-        return (per_tree.withColumn("_unseen", unseen)
+        return (out.withColumn("_unseen", unseen)
                 .select("Id", "tree", "_unseen", F.posexplode("_vote").alias("class", "p"))
                 .select("Id", "tree", "class", (F.col("p") * F.col("_unseen")).alias("vote")))
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +26,7 @@ from labelloom.operators import vectors as V
 from labelloom.plans import workflow as W
 from labelloom.sources import articles as A
 from labelloom.sources import sinks as K
+from labelloom.streaming.scoring import score_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
@@ -715,6 +717,20 @@ def _(spark, folder):
     return S.rank_terms(chi2_of(spark, folder)).select("term", "rank")
 
 
+@query("feature_vectors", f"""
+WITH {CHI2_SQL},
+best AS (SELECT branch, term FROM scores ORDER BY round(score, 9) DESC, branch DESC, term DESC LIMIT 200)
+SELECT Id, term, round(w, 6) AS w FROM weighted JOIN best USING (branch, term)""")
+def _(spark, folder):
+    """The entries of the vectors handed to the classifier, by name."""
+    docs = multiclass(spark, folder)
+    fitted = V.fit_features(docs, [WORDS2], 200)
+    entries = fitted.transform(docs).select(
+        "Id", F.posexplode(vector_to_array("features")).alias("position", "w")).filter("w <> 0")
+    named = scale.attach(entries, fitted.selected_terms(), ["position"], "inner")
+    return named.select("Id", "term", r6("w"))
+
+
 # --- split, folds, search -----------------------------------------------------------------------------
 
 
@@ -780,6 +796,18 @@ def _(spark, folder):
     return best.select("candidate", r6("mean_score"))
 
 
+@query("search_results_csv", f"""
+WITH {FOLD_TABLE_SQL} SELECT candidate, round(mean_score, 6) AS mean_score,
+  CAST(rank AS INTEGER) AS rank FROM table_""")
+def _(spark, folder):
+    path = f"{scale.shared_folder(spark)}/labelloom/csv-{uuid.uuid4().hex}"
+    K.write_search_results(M.fold_table(fold_scores(spark, folder), 3), path)
+    stored = "candidate int, fold_0 double, fold_1 double, fold_2 double, mean_score double, " \
+             "std_score double, rank int"
+    return spark.read.schema(stored).csv(path, header=True).select(
+        "candidate", r6("mean_score"), "rank")
+
+
 # --- evaluation ------------------------------------------------------------------------------------------
 
 
@@ -872,6 +900,14 @@ def _(spark, folder):
     return M.prediction_summary(judged(spark, folder), "prediction")
 
 
+@query("predictions_csv", f"SELECT Id, prediction AS Category FROM ({JUDGED_SQL})")
+def _(spark, folder):
+    path = f"{scale.shared_folder(spark)}/labelloom/csv-{uuid.uuid4().hex}"
+    K.write_predictions(judged(spark, folder).select(
+        "Id", F.col("prediction").alias("Category")), path)
+    return A.read_csv(spark, path)
+
+
 # --- votes -------------------------------------------------------------------------------------------------
 
 VOTES_SQL = f"""
@@ -946,6 +982,25 @@ def _(spark, folder):
     return model.predict(docs).join(again, "Id")
 
 
+@query("stage_metrics")
+def _(spark, folder):
+    """Rows, features and seconds of each step of an evaluation."""
+    return W.score(multiclass(spark, folder), SMALL, [WORDS1]).metrics
+
+
+@query("score_stream")
+def _(spark, folder):
+    """Predictions written while the documents arrive as a stream of files."""
+    docs = multiclass(spark, folder)
+    model = W.train(docs, SMALL, [WORDS1])
+    place = f"{scale.shared_folder(spark)}/labelloom/stream-{uuid.uuid4().hex}"
+    arriving = spark.read.parquet(f"{folder}/documents.parquet").schema
+    score_stream(spark, model, f"{folder}/documents*.parquet", arriving, f"{place}/out",
+                 f"{place}/progress", prepare=lambda df: df.select(
+                     F.col("doc_id").alias("Id"), F.col("text").alias("Text"))).awaitTermination()
+    return spark.read.parquet(f"{place}/out").select("Id", "Category")
+
+
 def vectors_of(spark, folder, k: int = 100) -> DataFrame:
     docs = multiclass(spark, folder)
     fitted = V.fit_features(docs, [WORDS1], k)

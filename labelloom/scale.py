@@ -17,6 +17,8 @@ BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 # A key is hot when it holds at least 1/HOT_KEYS of the rows; there can be no more such keys.
 HOT_KEYS = 1_000
+# Smaller groups than this are no burden for a task, whatever their share.
+HOT_ROWS = 10_000
 SALTS = 64
 
 _local_root: str | None = None
@@ -83,7 +85,7 @@ def hot_keys(df: DataFrame, on: Sequence[str], share: int = HOT_KEYS) -> DataFra
     """The keys that hold at least ``1 / share`` of the rows each, hence at most ``share`` keys."""
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
     limit = counts.agg(F.sum("_rows") / share).scalar()
-    return counts.filter(F.col("_rows") >= limit).select(*on)
+    return counts.filter((F.col("_rows") >= HOT_ROWS) & (F.col("_rows") >= limit)).select(*on)
 
 
 def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",

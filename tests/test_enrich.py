@@ -28,6 +28,7 @@ def brute_lookup(titles, corpus):
 def test_most_relevant_is_exact(spark, monkeypatch, rare, growth):
     """Frequent words, copies holding a third of the corpus, titles without rare words or match."""
     monkeypatch.setattr(E, "POSTINGS_GROWTH", growth)
+    monkeypatch.setattr(scale, "HOT_ROWS", 1 if growth == 4 else 10_000)
     dice = random.Random(7)
 
     def text(n):

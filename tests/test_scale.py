@@ -20,6 +20,11 @@ def skewed(spark):
     return left, right
 
 
+@pytest.fixture(autouse=True)
+def small_groups_count(monkeypatch):
+    monkeypatch.setattr(scale, "HOT_ROWS", 1)
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_skew_join(skewed, how):
     left, right = skewed

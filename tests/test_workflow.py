@@ -143,13 +143,16 @@ def accuracy(df):
     return df.select(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
 
 
-def test_random_threshold_trees(spark, vectors, tmp_path):
+def test_random_threshold_trees(spark, vectors, tmp_path, monkeypatch):
     fitted = C.RandomThresholdTrees(9, 6).fit(vectors)
     assert accuracy(fitted.transform(vectors)) > 0.8
     fitted.save(str(tmp_path / "e"))
     again = C.Ensemble.load(spark, str(tmp_path / "e"))
     assert sorted(r["prediction"] for r in again.transform(vectors).collect()) == sorted(
         r["prediction"] for r in fitted.transform(vectors).collect())
+    monkeypatch.setattr(C, "MEMBERS_PER_PLAN", 4)
+    assert sorted(map(str, again.transform(vectors).select("Id", "prediction").collect())) == sorted(
+        map(str, fitted.transform(vectors).select("Id", "prediction").collect()))
 
 
 @pytest.mark.parametrize("base", [C.random_forest, C.extra_trees])
@@ -160,7 +163,8 @@ def test_boosting(vectors, base):
     assert accuracy(many.transform(vectors)) >= accuracy(one.transform(vectors))
 
 
-def test_out_of_bag(spark, vectors):
+def test_out_of_bag(spark, vectors, monkeypatch):
+    monkeypatch.setattr(C, "MEMBERS_PER_PLAN", 4)
     drawn = vectors.select(*[C.bag_weight(t).alias(f"t{t}") for t in range(20)]).collect()
     flat = [w for r in drawn for w in r]
     assert abs(sum(flat) / len(flat) - 1) < 0.1
@@ -180,9 +184,10 @@ def test_out_of_bag(spark, vectors):
 
 def test_stream(spark, docs, model, tmp_path):
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
-    docs.drop("Category").repartition(3).write.parquet(source)
-    schema = docs.drop("Category").schema
+    raw = docs.select(F.col("Id").alias("n"), "Text")
+    raw.repartition(3).write.parquet(source)
     for _ in range(2):
-        score_stream(spark, model, source, schema, target, str(tmp_path / "cp")).awaitTermination()
+        score_stream(spark, model, source, raw.schema, target, str(tmp_path / "cp"),
+                     prepare=lambda df: df.withColumnRenamed("n", "Id")).awaitTermination()
     got = spark.read.parquet(target).select("Id", "Category")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, model.predict(docs).collect()))
