@@ -79,7 +79,7 @@ def with_idf(pairs: DataFrame, idf: DataFrame) -> DataFrame:
     frequent = F.broadcast(idf.filter(F.col("df") >= limit))
     common = pairs.join(frequent, on)
     rare = pairs.join(frequent.select(*on), on, "left_anti").join(
-        idf.join(frequent.select(*on), on, "left_anti"), on)
+        idf.filter(F.col("df") < limit), on)
     return common.unionByName(rare)
 
 

@@ -92,7 +92,8 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
               hot: DataFrame | None = None, salts: int = SALTS) -> DataFrame:
     """Equi-join that spreads the hot keys of ``left`` over ``salts`` tasks each.
 
-    Rows of ``right`` are repeated for hot keys only. ``how`` is ``inner``, ``left``,
+    Rows of ``right`` are repeated for hot keys only. ``left`` is read twice, so it should be a
+    scan or a stored table. ``how`` is ``inner``, ``left``,
     ``left_semi`` or ``left_anti``: each left row meets every right row of its key exactly once.
     """
     on = list(on)

@@ -10,6 +10,8 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
              .config("spark.sql.shuffle.partitions", str(partitions))
              .config("spark.driver.memory", memory)
              .config("spark.sql.session.timeZone", "UTC")
+             # Joins hash instead of sort where every partition is measured small enough.
+             .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
              .getOrCreate())
