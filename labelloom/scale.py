@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -21,23 +20,23 @@ HOT_KEYS = 1_000
 HOT_ROWS = 10_000
 SALTS = 64
 
-_local_root: str | None = None
+# Where an unset ``spark.checkpoint.dir`` points in a session on one machine, as in tests.
+LOCAL_SHARED = "/tmp/checkpoints"
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder for written intermediate tables, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may run without that setting; it then gets a scratch folder.
+    Only a session whose driver and executors are one process may leave it unset.
     """
-    global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
         raise ValueError("spark.checkpoint.dir must name a folder that every executor can reach")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="labelloom-")
-    return _local_root
+    spark.conf.set("spark.checkpoint.dir", LOCAL_SHARED)
+    return LOCAL_SHARED
 
 
 def stage(df: DataFrame, name: str = "table") -> DataFrame:
