@@ -10,10 +10,11 @@ the weights. Points are made only up to a time by which all positions are likely
 the time is doubled, so signatures are exact.
 
 Signatures are cut into bands; texts that share a band are candidates. In each bucket all texts are
-compared with its smallest key first. A bucket whose texts then lie in one component is done; other
-buckets compare all pairs of different components when they are small, and go on with another hub when
-they are large, until nothing is left. So no bucket is multiplied out and none is cut. Every link is
-verified on the exact multisets: overlap / union >= 0.8.
+compared with its smallest key first. A bucket whose texts then lie in one component is done. Another one
+compares all pairs of texts from different components where these are at most ``CROSS`` times its texts;
+where they are more, about ``CROSS`` texts outside its largest component are compared with all others, and
+the bucket goes on without them, until nothing is left. So no bucket is multiplied out and none is cut.
+Every link is verified on the exact multisets: overlap / union >= 0.8.
 
 Equal texts are one text throughout (by the MD5 of the text), so copies cost nothing. Texts of fewer than
 five words are one shingle of all their words; texts without a word are linked to equal texts only. A null
@@ -23,6 +24,7 @@ members lack one. Repeated rows are copies. Extra columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections import Counter, OrderedDict
 from collections.abc import Iterator
@@ -40,7 +42,7 @@ from labelloom.llm.inputs import pieces, text_or_empty
 WORD = re.compile(r"\w+")
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 5
-SMALL_BUCKET = 64
+CROSS = 100
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -53,13 +55,25 @@ def _mix(x: np.ndarray) -> np.ndarray:
 GOLDEN = 0x9E3779B97F4A7C15
 
 
+class _Numbers(dict):
+    """Hashes of words; common ones are computed once for each task."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        number = self[word] = xxhash.xxh64_intdigest(word)
+        return number
+
+
+_numbers = _Numbers()
+
+
 def shingles(text: str) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, weights) of the distinct shingles of a text, ordered by hash."""
     words = WORD.findall(text.lower())
     if not words:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    number = {w: xxhash.xxh64_intdigest(w) for w in set(words)}
-    coded = np.array([number[w] for w in words], np.uint64)
+    coded = np.fromiter(map(_numbers.__getitem__, words), np.uint64, len(words))
     width = min(SHINGLE, len(words))
     key = np.full(len(words) - width + 1, width, np.uint64)
     for k in range(width):
@@ -67,9 +81,9 @@ def shingles(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(key, return_counts=True)
 
 
-def _points(keys: np.ndarray, weights: np.ndarray, until: float, size: int, out_t: np.ndarray, out_k: np.ndarray):
-    """Enter all points up to a time: ``out_t`` earliest time, ``out_k`` its point, by position."""
-    low, width, salt = 0, 1, 1
+def _points(keys: np.ndarray, weights: np.ndarray, owner: np.ndarray, until: np.ndarray, size: int):
+    """All points of some weighted sets up to each one's time: (place, time, point)."""
+    low, width, salt, found = 0, 1, 1, []
     while len(keys):
         # One block of the weight axis: [0,1), [1,2), [2,4), [4,8), ...
         base = _mix(keys + np.uint64(salt * GOLDEN & (1 << 64) - 1))
@@ -77,44 +91,56 @@ def _points(keys: np.ndarray, weights: np.ndarray, until: float, size: int, out_
         while len(live):
             step += 1
             draw = _mix(base[live] + np.uint64(step * GOLDEN & (1 << 64) - 1))
-            more = _mix(draw + np.uint64(0xD6E8FEB86659FD93))
             time = time - np.log(((draw >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53) / width
-            early = time <= until
-            live, time, draw, more = live[early], time[early], draw[early], more[early]
+            early = np.flatnonzero(time <= until[owner[live]])
+            live, time, draw = live[early], time[early], draw[early]
+            more = _mix(draw + np.uint64(0xD6E8FEB86659FD93))
             level = low + (more >> np.uint64(32)).astype(np.float64) * (width * 2.0 ** -32)
-            owned = level < weights[live]
-            place = ((more & np.uint64(0xFFFFFFFF)) * np.uint64(size) >> np.uint64(32)).astype(np.int64)[owned]
-            t, k = time[owned], draw[owned]
-            order = np.argsort(-t, kind="stable")  # the earliest is written last
-            place, t, k = place[order], t[order], k[order]
-            better = t < out_t[place]
-            out_t[place[better]], out_k[place[better]] = t[better], k[better]
+            owned = np.flatnonzero(level < weights[live])
+            place = ((more[owned] & np.uint64(0xFFFFFFFF)) * np.uint64(size) >> np.uint64(32)).astype(np.int64)
+            found.append((owner[live[owned]] * size + place, time[owned], draw[owned]))
         low, width, salt = low + width, max(1, low + width), salt + 1
-        more_weight = weights > low
-        keys, weights = keys[more_weight], weights[more_weight]
+        heavier = np.flatnonzero(weights > low)
+        keys, weights, owner = keys[heavier], weights[heavier], owner[heavier]
+    return [np.concatenate(c) for c in zip(*found)]
+
+
+def signatures(sets: list[tuple[np.ndarray, np.ndarray]], size: int = BANDS * ROWS) -> np.ndarray:
+    """The BagMinHash signatures of weighted sets that are not empty, one per row."""
+    out = np.zeros((len(sets), size), np.uint64)
+    rows = np.arange(len(sets))
+    until = np.array([size / float(w.sum()) * (np.log(size) + 2.5) for _, w in sets])
+    while len(rows):
+        some = [sets[r] for r in rows]
+        owner = np.repeat(np.arange(len(rows)), [len(k) for k, _ in some])
+        place, time, point = _points(np.concatenate([k for k, _ in some]), np.concatenate([w for _, w in some]),
+                                     owner, until, size)
+        order = np.argsort(-time, kind="stable")  # the earliest point of a place is written last
+        made, filled = np.zeros(len(rows) * size, np.uint64), np.zeros(len(rows) * size, bool)
+        made[place[order]], filled[place] = point[order], True
+        whole = filled.reshape(-1, size).all(1)
+        out[rows[whole]] = made.reshape(-1, size)[whole]
+        rows, until = rows[~whole], 2 * until[~whole]
+    return out
 
 
 def signature(keys: np.ndarray, weights: np.ndarray, size: int = BANDS * ROWS) -> np.ndarray:
-    """The BagMinHash signature of a weighted set that is not empty."""
-    until = size / float(weights.sum()) * (np.log(size) + 2.5)
-    while True:
-        out_t, out_k = np.full(size, np.inf), np.zeros(size, np.uint64)
-        _points(keys, weights, until, size, out_t, out_k)
-        if np.isfinite(out_t).all():
-            return out_k
-        until *= 2
-
-
-def bands(text: str) -> np.ndarray | None:
-    """One hash per band; equal hashes make two texts candidates."""
-    keys, weights = shingles(text)
-    if not len(keys):
-        return None
-    rows = signature(keys, weights).reshape(BANDS, ROWS)
-    out = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(GOLDEN)
-    for r in range(ROWS):
-        out = _mix(out + rows[:, r]) + np.uint64(GOLDEN)
-    return out.view(np.int64)
+    return signatures([(keys, weights)], size)[0]
+
+
+def bands(texts: list[str]) -> list[np.ndarray | None]:
+    """One hash per band and text; equal hashes make two texts candidates. None without a word."""
+    sets = [shingles(t) for t in texts]
+    some = [i for i, (k, _) in enumerate(sets) if len(k)]
+    out: list[np.ndarray | None] = [None] * len(texts)
+    if some:
+        rows = signatures([sets[i] for i in some]).reshape(len(some), BANDS, ROWS)
+        made = np.arange(1, BANDS + 1, dtype=np.uint64)[None] * np.uint64(GOLDEN)
+        for r in range(ROWS):
+            made = _mix(made + rows[:, :, r]) + np.uint64(GOLDEN)
+        for i, row in zip(some, made.view(np.int64)):
+            out[i] = row
+    return out
 
 
 def units(text: str) -> np.ndarray:
@@ -149,22 +175,20 @@ class _Recent:
 
 
 def _band_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    seen = _Recent()
-    for frame in pieces(frames, 512):
-        fresh = [seen.new(k) for k in frame["key"]]
-        made = [(k, bands(t)) for k, t in zip(frame["key"][fresh], frame["text"][fresh])]
-        made = [(k, b) for k, b in made if b is not None]
-        yield pd.DataFrame({"key": [k for k, _ in made], "bands": [b for _, b in made]})
+    for frame in pieces(_first_rows(frames), 256):
+        made = [(k, b) for k, b in zip(frame["key"], bands(list(frame["text"]))) if b is not None]
+        if made:
+            yield pd.DataFrame({"key": [k for k, _ in made], "bands": [b for _, b in made]})
 
 
 def _first_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     seen = _Recent()
     for frame in pieces(frames, 512):
-        yield frame[[seen.new(k) for k in frame["key"]]]
+        yield frame[np.array([seen.new(k) for k in frame["key"]], bool)]
 
 
 def _unit_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in pieces(frames, 256):
+    for frame in pieces(_first_rows(frames), 256):
         yield pd.DataFrame({"key": frame["key"], "units": [units(t) for t in frame["text"]]})
 
 
@@ -179,8 +203,13 @@ def _hub_links(members: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose multisets overlap enough."""
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
-    near = texts.mapInPandas(_first_rows, texts.schema).join(wanted, "key", "left_semi").dropDuplicates(["key"])
-    sets = scale.stage(near.mapInPandas(_unit_rows, "key string, units array<bigint>"), "units")
+    wanted = scale.stage(wanted, "wanted")
+    if scale.fits(wanted):
+        near = texts.join(F.broadcast(wanted), "key", "left_semi")
+    else:
+        near = texts.mapInPandas(_first_rows, texts.schema).join(wanted, "key", "left_semi")
+    made = near.mapInPandas(_unit_rows, "key string, units array<bigint>")
+    sets = scale.stage(made.dropDuplicates(["key"]), "units")
     left = sets.select(F.col("key").alias("a"), F.col("units").alias("x"))
     right = sets.select(F.col("key").alias("b"), F.col("units").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
@@ -201,31 +230,36 @@ def groups(docs: DataFrame, text: str = "text") -> DataFrame:
     pairs = scale.stage(_hub_links(members), "pairs")
     links = scale.stage(_verified(pairs, texts), "verified")
     done, rest = pairs, members
-    while True:
+    for turn in itertools.count():
         found = components(links)
         placed = rest.join(found.withColumnRenamed("vertex", "key"), "key", "left").withColumn(
             "component", F.coalesce("component", "key"))
-        # The smallest key of every bucket has been compared with all others: it need not be again.
-        mixed = (placed.groupBy("band").agg(F.min("key").alias("hub"), F.count(F.lit(1)).alias("n"),
-                                            F.min("component").alias("low"), F.max("component").alias("high"))
-                 .filter("low <> high and n > 2").select("band", "hub", "n"))
-        rest = scale.stage(placed.join(mixed, "band").filter(F.col("key") != F.col("hub"))
-                           .select("band", "key", "component", "n"), "mixed")
-        small = rest.filter(F.col("n") <= SMALL_BUCKET).select("band", "key", "component")
-        other = small.select("band", F.col("key").alias("b"), F.col("component").alias("other"))
-        few = (small.join(other, "band").filter((F.col("b") < F.col("key")) & (F.col("component") != F.col("other")))
-               .select(F.col("key").alias("a"), "b"))
-        large = rest.filter(F.col("n") > SMALL_BUCKET).select("band", "key")
-        more = few.union(_hub_links(large)).distinct().join(done, ["a", "b"], "left_anti")
+        shares = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
+        mixed = shares.groupBy("band").agg(
+            F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("most"),
+            ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("cross"))
+        mixed = mixed.filter("cross > 0").select(
+            "band", F.col("most.component").alias("largest"), (F.col("n") - F.col("most.n")).alias("minor"),
+            (F.col("cross") <= CROSS * F.col("n")).alias("few"))
+        rest = scale.stage(placed.join(mixed, "band").select(
+            "band", "key", "component", "few",
+            # Texts to be compared with all of other components now.
+            (F.col("few") | (F.col("component") != F.col("largest"))
+             & (F.pmod(F.xxhash64("key", F.lit(turn)), F.lit(1 << 20)) * F.col("minor") < CROSS * (1 << 20))).alias("now")), "mixed")
+        asked = rest.filter("now").select("band", F.col("key").alias("b"), F.col("component").alias("other"))
+        more = (rest.join(asked, "band").filter(F.col("component") != F.col("other"))
+                .select(F.greatest("key", "b").alias("a"), F.least("key", "b").alias("b")).distinct()
+                .join(done, ["a", "b"], "left_anti"))
         more = scale.stage(more, "pairs")
-        rest = large
-        if not more.isEmpty():
-            new = scale.stage(_verified(more, texts), "verified")
-            done, links = done.union(more), links.union(new)
-            if large.isEmpty():
-                return components(links) if not new.isEmpty() else found
-        elif large.isEmpty():
+        open_ = rest.filter("not few")
+        if open_.isEmpty() and more.isEmpty():
             return found
+        new = scale.stage(_verified(more, texts), "verified")
+        done, links = done.union(more), links.union(new)
+        if open_.isEmpty():
+            return found if new.isEmpty() else components(links)
+        # All leave once there are at most CROSS outside the largest component, so the rounds end.
+        rest = open_.filter("not now").select("band", "key")
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
