@@ -10,11 +10,11 @@ the weights. Points are made only up to a time by which all positions are likely
 the time is doubled, so signatures are exact.
 
 Signatures are cut into bands; texts that share a band are candidates. In each bucket all texts are
-compared with its smallest key first. A bucket whose texts then lie in one component is done. Another one
-compares all pairs of texts from different components where these are at most ``CROSS`` times its texts;
-where they are more, about ``CROSS`` texts outside its largest component are compared with all others, and
-the bucket goes on without them, until nothing is left. So no bucket is multiplied out and none is cut.
-Every link is verified on the exact multisets: overlap / union >= 0.8.
+compared with its smallest key first. A bucket whose texts then lie in one component is done. In another
+one, texts of different components are compared: as pairs where the bucket holds at most ``SMALL`` texts;
+else in blocks of at most about ``BLOCK`` texts outside the largest component against as many of all, inside
+tasks that return one link per text and component that it meets. So no bucket is multiplied out and none
+is cut. Every link is verified on the exact multisets: overlap / union >= 0.8.
 
 Equal texts are one text throughout (by the MD5 of the text), so copies cost nothing. Texts of fewer than
 five words are one shingle of all their words; texts without a word are linked to equal texts only. A null
@@ -24,7 +24,6 @@ members lack one. Repeated rows are copies. Extra columns are ignored.
 
 from __future__ import annotations
 
-import itertools
 import re
 from collections import Counter, OrderedDict
 from collections.abc import Iterator
@@ -42,7 +41,7 @@ from labelloom.llm.inputs import pieces, text_or_empty
 WORD = re.compile(r"\w+")
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 5
-CROSS = 100
+SMALL, BLOCK = 32, 1_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -192,24 +191,19 @@ def _unit_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"key": frame["key"], "units": [units(t) for t in frame["text"]]})
 
 
-def _hub_links(members: DataFrame) -> DataFrame:
-    """``(band, key)`` rows to links of each key with the smallest one of its bucket."""
-    hubs = (members.groupBy("band").agg(F.min("key").alias("hub"), F.count(F.lit(1)).alias("n"))
-            .filter("n > 1").select("band", "hub"))
-    return (members.join(hubs, "band").filter(F.col("key") != F.col("hub"))
-            .select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct())
-
-
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs whose multisets overlap enough."""
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
-    wanted = scale.stage(wanted, "wanted")
+def _unit_sets(keys: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(key, units)`` of the texts with these keys."""
+    wanted = scale.stage(keys.distinct(), "wanted")
     if scale.fits(wanted):
         near = texts.join(F.broadcast(wanted), "key", "left_semi")
     else:
         near = texts.mapInPandas(_first_rows, texts.schema).join(wanted, "key", "left_semi")
     made = near.mapInPandas(_unit_rows, "key string, units array<bigint>")
-    sets = scale.stage(made.dropDuplicates(["key"]), "units")
+    return scale.stage(made.dropDuplicates(["key"]), "units")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose multisets overlap enough."""
     left = sets.select(F.col("key").alias("a"), F.col("units").alias("x"))
     right = sets.select(F.col("key").alias("b"), F.col("units").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
@@ -220,46 +214,82 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             .filter(both / either >= SIMILARITY).select("a", "b"))
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key")))
+
+
+def _block_rows(_key, members: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+    """Links between two blocks of a bucket: the smallest key per asked text and other component."""
+    out: list[tuple[str, str]] = []
+    if len(members) and len(asked):
+        members = members.sort_values("key", ignore_index=True)
+        sizes = np.array([len(u) for u in members["units"]])
+        flat = np.concatenate(list(members["units"]))
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], np.repeat(np.arange(len(members)), sizes)[order]
+        keys, components_ = members["key"].to_numpy(), members["component"].to_numpy()
+        for key, component, own in zip(asked["asked"], asked["other"], asked["own"]):
+            low, high = np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")
+            both = np.bincount(np.concatenate([owner[i:j] for i, j in zip(low, high)]), minlength=len(members))
+            near = both / (sizes + len(own) - both) >= SIMILARITY
+            met = {}
+            for i in np.flatnonzero(near & (components_ != component)):
+                met.setdefault(components_[i], keys[i])
+            out += [(max(key, k), min(key, k)) for k in met.values()]
+    return pd.DataFrame(out, columns=["a", "b"]).astype(str)
+
+
+def _block_links(rest: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between components in large buckets: ``rest`` has band, key, component, n, minor, largest."""
+    rows = rest.join(sets, "key")
+
+    def cut(size: str):
+        return F.ceil(F.col(size) / BLOCK).cast("int")
+
+    def block(size: str):
+        return F.pmod(F.xxhash64("key"), cut(size)).cast("int")
+
+    def every(size: str):
+        return F.explode(F.sequence(F.lit(0), cut(size) - 1))
+
+    members = rows.withColumn("at", block("n")).select(
+        "band", "at", every("minor").alias("part"), "key", "component", "units")
+    asked = rows.filter(F.col("component") != F.col("largest")).withColumn("mine", block("minor")).select(
+        F.col("band").alias("bucket"), every("n").alias("there"), "mine", F.col("key").alias("asked"),
+        F.col("component").alias("other"), F.col("units").alias("own"))
+    return members.groupBy("band", "at", "part").cogroup(asked.groupBy("bucket", "there", "mine")).applyInPandas(
+        _block_rows, "a string, b string")
+
+
 def groups(docs: DataFrame, text: str = "text") -> DataFrame:
     """``(key, component)``: MD5 of each text that has near duplicates, and the smallest of its group."""
     texts = docs.select(F.md5(text_or_empty(text)).alias("key"), text_or_empty(text).alias("text"))
     made = texts.mapInPandas(_band_rows, "key string, bands array<bigint>")
     members = scale.stage(made.dropDuplicates(["key"]).select("key", F.explode("bands").alias("band")), "bands")
-    crowded = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band")
-    members = scale.stage(members.join(crowded, "band", "left_semi"), "buckets")
-    pairs = scale.stage(_hub_links(members), "pairs")
-    links = scale.stage(_verified(pairs, texts), "verified")
-    done, rest = pairs, members
-    for turn in itertools.count():
-        found = components(links)
-        placed = rest.join(found.withColumnRenamed("vertex", "key"), "key", "left").withColumn(
-            "component", F.coalesce("component", "key"))
-        shares = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
-        mixed = shares.groupBy("band").agg(
-            F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("most"),
-            ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("cross"))
-        mixed = mixed.filter("cross > 0").select(
-            "band", F.col("most.component").alias("largest"), (F.col("n") - F.col("most.n")).alias("minor"),
-            (F.col("cross") <= CROSS * F.col("n")).alias("few"))
-        rest = scale.stage(placed.join(mixed, "band").select(
-            "band", "key", "component", "few",
-            # Texts to be compared with all of other components now.
-            (F.col("few") | (F.col("component") != F.col("largest"))
-             & (F.pmod(F.xxhash64("key", F.lit(turn)), F.lit(1 << 20)) * F.col("minor") < CROSS * (1 << 20))).alias("now")), "mixed")
-        asked = rest.filter("now").select("band", F.col("key").alias("b"), F.col("component").alias("other"))
-        more = (rest.join(asked, "band").filter(F.col("component") != F.col("other"))
-                .select(F.greatest("key", "b").alias("a"), F.least("key", "b").alias("b")).distinct()
-                .join(done, ["a", "b"], "left_anti"))
-        more = scale.stage(more, "pairs")
-        open_ = rest.filter("not few")
-        if open_.isEmpty() and more.isEmpty():
-            return found
-        new = scale.stage(_verified(more, texts), "verified")
-        done, links = done.union(more), links.union(new)
-        if open_.isEmpty():
-            return found if new.isEmpty() else components(links)
-        # All leave once there are at most CROSS outside the largest component, so the rounds end.
-        rest = open_.filter("not now").select("band", "key")
+    hubs = (members.groupBy("band").agg(F.min("key").alias("hub"), F.count(F.lit(1)).alias("n"))
+            .filter("n > 1").select("band", "hub"))
+    # The smallest key of a bucket is compared with all others here and so need not be again.
+    members = scale.stage(members.join(hubs, "band").filter(F.col("key") != F.col("hub")), "buckets")
+    pairs = scale.stage(members.select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct(), "pairs")
+    links = scale.stage(_verified(pairs, _unit_sets(_ends(pairs), texts)), "verified")
+    found = components(links)
+    placed = members.select("band", "key").join(found.withColumnRenamed("vertex", "key"), "key", "left").withColumn(
+        "component", F.coalesce("component", "key"))
+    shares = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
+    mixed = (shares.groupBy("band").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("most"))
+             .filter("most.n < n").select("band", "n", F.col("most.component").alias("largest"),
+                                          (F.col("n") - F.col("most.n")).alias("minor")))
+    rest = scale.stage(placed.join(mixed, "band"), "mixed")
+    few = rest.filter(F.col("n") <= SMALL)
+    other = few.select("band", F.col("key").alias("b"), F.col("component").alias("other"))
+    more = (few.join(other, "band").filter((F.col("b") < F.col("key")) & (F.col("component") != F.col("other")))
+            .select(F.col("key").alias("a"), "b").distinct().join(pairs, ["a", "b"], "left_anti"))
+    more, large = scale.stage(more, "pairs"), rest.filter(F.col("n") > SMALL)
+    sets = _unit_sets(_ends(more).union(large.select("key")), texts)
+    new = scale.stage(_verified(more, sets).union(_block_links(large, sets)), "verified")
+    # What is known of a component is a star; the new links join stars.
+    return found if new.isEmpty() else components(
+        found.select(F.col("vertex").alias("a"), F.col("component").alias("b")).union(new))
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:

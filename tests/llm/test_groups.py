@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from labelloom.llm import bagminhash, flat_graph
 from labelloom.llm.components import components
 
@@ -52,7 +53,7 @@ def corpus(seed=7):
     texts = []
     for g in range(12):
         base = rng.choices(vocabulary, k=rng.randint(30, 120))
-        for _ in range(rng.choice([1, 2, 5, 30])):
+        for _ in range(rng.choice([1, 2, 5, 60])):
             copy = list(base)
             for _ in range(rng.randint(0, 3)):
                 copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
@@ -62,7 +63,10 @@ def corpus(seed=7):
     return texts
 
 
-def test_classes_equal_brute_force(spark):
+@pytest.mark.parametrize("small, block", [(bagminhash.SMALL, bagminhash.BLOCK), (1, 7)])
+def test_classes_equal_brute_force(spark, monkeypatch, small, block):
+    monkeypatch.setattr(bagminhash, "SMALL", small)
+    monkeypatch.setattr(bagminhash, "BLOCK", block)
     texts = corpus()
     docs = spark.createDataFrame([(i, t, "a", "b") for i, t in enumerate(texts)],
                                  "doc_id bigint, text string, band string, key string")
