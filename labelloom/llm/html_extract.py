@@ -293,6 +293,8 @@ def extract(page: str, wrapper: list | None) -> str:
                     blocks[-1].append(child)
                 continue
             if dropped(child.kind) and not (inside and chosen and child.kind[0] == "header" and _has_heading(child)):
+                if child.kind[0] in BLOCK:
+                    blocks.append([])
                 continue
             mine = None
             if slot is not None:

@@ -13,6 +13,7 @@ are one document; an empty table gives no rows. Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -115,12 +116,17 @@ def bigrams(unit: Column) -> tuple[Column, Column]:
     return words, F.array_distinct(pairs)
 
 
+def bounds(size: int, least: float) -> tuple[int, int]:
+    """The sizes that can reach a Dice coefficient of ``least`` with a template of this size."""
+    return math.ceil(size * least / (2 - least) - 1e-9), math.floor(size * (2 - least) / least + 1e-9)
+
+
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
          templates: Mapping[str, tuple[str, ...]] = TEMPLATES, least: float = DICE) -> DataFrame:
     """One row per document and licence found: ``doc_id``, ``license``, ``dice`` (the best unit's) and
     ``n_units`` (distinct units that match)."""
     known = [(name, k, template_bigrams(t)) for name, texts in sorted(templates.items()) for k, t in enumerate(texts)]
-    shortest = min(len(b) for _, _, b in known) * least / (2 - least)
+    shortest = min(bounds(len(b), least)[0] for _, _, b in known)
     rows = docs.select(F.col(doc_id).alias("doc_id"), normalised(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("text"))
     unit = rows.select("doc_id", F.explode(units(F.col("text"))).alias("unit"))
     words, pairs = bigrams(F.col("unit"))
@@ -129,7 +135,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                .select("doc_id", "unit", pairs.alias("pairs")).withColumn("n", F.size("pairs")))
 
     def dice(own: list[str]) -> Column:
-        fits = F.col("n").between(len(own) * least / (2 - least), len(own) * (2 - least) / least)
+        fits = F.col("n").between(*bounds(len(own), least))
         shared = F.size(F.array_intersect(F.col("pairs"), F.array(*map(F.lit, own))))
         return F.when(fits, 2 * shared / (F.col("n") + len(own)))
 
@@ -142,9 +148,10 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def sql(templates: Mapping[str, tuple[str, ...]] = TEMPLATES, least: float = DICE) -> str:
     """The same in DuckDB's SQL over ``documents``."""
     known = [(name, template_bigrams(t)) for name, texts in sorted(templates.items()) for t in texts]
-    values = ",\n".join(f"('{name}', [{', '.join(repr(b) for b in own)}])" for name, own in known)
+    values = ",\n".join(f"('{name}', [{', '.join(repr(b) for b in own)}], {', '.join(map(str, bounds(len(own), least)))})"
+                        for name, own in known)
     return f"""
-WITH templates(license, own) AS (VALUES {values}),
+WITH templates(license, own, low, high) AS (VALUES {values}),
 rows AS (SELECT doc_id, regexp_replace(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^a-z0-9\\n]+', ' ', 'g') AS text
          FROM documents),
 parts AS (SELECT doc_id, unnest(list_distinct(
@@ -152,9 +159,9 @@ parts AS (SELECT doc_id, unnest(list_distinct(
             || CASE WHEN regexp_matches(text, '\\n ?\\n') THEN string_split_regex(text, '\\n ?\\n') ELSE [] END || [text])) AS unit
           FROM rows),
 split AS (SELECT doc_id, unit, string_split(trim(regexp_replace(unit, '[ \\n]+', ' ', 'g')), ' ') AS words FROM parts),
-pairs AS (SELECT doc_id, unit, list_distinct(list_transform(range(1, len(words)), i -> words[i] || ' ' || words[i + 1])) AS pairs
+pairs AS (SELECT doc_id, unit, list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS pairs
           FROM split),
 hits AS (SELECT doc_id, license, unit, max(2 * len(list_intersect(pairs, own)) / (len(pairs) + len(own))) AS dice
-         FROM pairs JOIN templates ON len(pairs) BETWEEN len(own) * {least} / (2 - {least}) AND len(own) * (2 - {least}) / {least}
+         FROM pairs JOIN templates ON len(pairs) BETWEEN low AND high
          GROUP BY ALL HAVING max(2 * len(list_intersect(pairs, own)) / (len(pairs) + len(own))) >= {least})
 SELECT doc_id, license, round(max(dice), 6) AS dice, count(*) AS n_units FROM hits GROUP BY doc_id, license"""

@@ -151,7 +151,8 @@ def test_size_bounds_lose_nothing():
             unit = [b for b in own if rng.random() < 0.8] + [f"x{i} y" for i in range(rng.randint(0, len(own)))]
             dice = 2 * len(set(unit) & set(own)) / (len(unit) + len(own)) if unit else 0
             if dice >= 0.8:
-                assert len(own) * 0.8 / 1.2 <= len(unit) <= len(own) * 1.2 / 0.8
+                low, high = licenses.bounds(len(own), 0.8)
+                assert low <= len(unit) <= high
 
 
 # --- decontamination --------------------------------------------------------------------------------
