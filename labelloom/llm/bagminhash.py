@@ -183,7 +183,9 @@ def _band_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _first_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     seen = _Recent()
     for frame in pieces(frames, 512):
-        yield frame[np.array([seen.new(k) for k in frame["key"]], bool)]
+        fresh = np.array([seen.new(k) for k in frame["key"]], bool)
+        if fresh.any():
+            yield frame[fresh]
 
 
 def _unit_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -236,7 +238,7 @@ def _block_rows(_key, members: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFram
             for i in np.flatnonzero(near & (components_ != component)):
                 met.setdefault(components_[i], keys[i])
             out += [(max(key, k), min(key, k)) for k in met.values()]
-    return pd.DataFrame(out, columns=["a", "b"]).astype(str)
+    return pd.DataFrame(out, columns=["a", "b"], dtype=object)
 
 
 def _block_links(rest: DataFrame, sets: DataFrame) -> DataFrame:

@@ -204,7 +204,8 @@ def _finder(items: Items, schema: str):
         for frame in pieces(frames, 512):
             rows = [(d, *leak) for d, t in zip(frame["doc_id"], frame["text"]) if isinstance(t, str)
                     for leak in items.leaks(words(t))]
-            yield pd.DataFrame(rows, columns=columns)
+            if rows:
+                yield pd.DataFrame(rows, columns=columns)
 
     return run
 
@@ -217,7 +218,9 @@ def drop_leaking(docs: DataFrame, items: DataFrame) -> DataFrame:
 
         def run(frames: Iterator[pd.DataFrame], fitted=fitted) -> Iterator[pd.DataFrame]:
             for frame in pieces(frames, 512):
-                yield frame[[not (isinstance(t, str) and fitted.leaks(words(t))) for t in frame["text"]]]
+                clean = np.array([not (isinstance(t, str) and fitted.leaks(words(t))) for t in frame["text"]], bool)
+                if clean.any():
+                    yield frame[clean]
 
         docs = docs.mapInPandas(run, docs.schema)
     return docs

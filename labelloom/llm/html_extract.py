@@ -331,7 +331,8 @@ def _page_wrappers(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if len(found) > 2_000:
             yield _rows(found)
             found = {}
-    yield _rows(found)
+    if found:
+        yield _rows(found)
 
 
 def _rows(found: dict[str, list]) -> pd.DataFrame:

@@ -245,7 +245,9 @@ def score(docs: DataFrame, path: str | None = None, doc_id: str = "doc_id", text
     def rare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lattice = Lattice(path, weights)
         for frame in pieces(frames, 4096):
-            frame = frame[[w not in rank for w in frame["word"]]]
+            frame = frame[np.array([w not in rank for w in frame["word"]], bool)]
+            if not len(frame):
+                continue
             yield pd.DataFrame({"word": frame["word"], "known": (frame["c"] > 0).astype(int),
                                 "base": np.log10(frame["c"].to_numpy(float) + 0.5) - bottom,
                                 "lattice": [lattice.word(w) for w in frame["word"]]})

@@ -221,6 +221,8 @@ def _parse_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if made["type"] in ("response", "revisit", "continuation"):
                     rows.append({**made, "origin": origin, "number": int(number) if number else None,
                                  "total": int(total) if total else None, "block": block})
+            if not rows:
+                continue
             out = pd.DataFrame(rows, columns=columns)
             yield out.astype({"number": "Int32", "total": "Int64"})
 
@@ -231,7 +233,8 @@ def _whole_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for r in frame.itertuples(index=False):
             record = {"record": r.record, "type": r.type, "url": r.url, "digest": r.digest, "refers_record": r.refers_record}
             rows.append(_payload_row(record, r.block, r.problem))
-        yield pd.DataFrame(rows, columns=[c.split()[0] for c in COLUMNS.split(", ")])
+        if rows:
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in COLUMNS.split(", ")])
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
