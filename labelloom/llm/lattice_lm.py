@@ -108,6 +108,69 @@ class Lattice:
     def word(self, word: bytes) -> float:
         return self.forward(START + word.decode("utf-8", "replace"))[-1]
 
+    def _alike(self, texts: list[str]) -> Iterator[tuple[list[int], np.ndarray | None]]:
+        """Groups of texts of one length with the piece ids of all their parts: [text, first, end], -1 for none.
+
+        Long texts, and those with a character that is spelled, come one by one without ids.
+        """
+        by_length: dict[int, list[int]] = {}
+        for at, text in enumerate(texts):
+            plain = len(text) <= 32 and all(c in self.log for c in set(text))
+            by_length.setdefault(len(text) if plain else -1 - at, []).append(at)
+        get, longest = self.own.ids.get, self.own.longest
+        for n, rows in by_length.items():
+            if n < 0:
+                yield rows, None
+                continue
+            own = [texts[at] for at in rows]
+            ids = np.full((len(own), n, n + 1), -1, np.int32)
+            for i in range(n):
+                for j in range(i + 1, min(n, i + longest) + 1):
+                    ids[:, i, j] = [get(t[i:j], -1) for t in own]
+            yield rows, ids
+
+    def _sums(self, parts: np.ndarray) -> np.ndarray:
+        top = parts.max(1)
+        return top + np.log(np.exp(parts - top[:, None]).sum(1))
+
+    def _ahead(self, logs: np.ndarray) -> np.ndarray:
+        """The forward recursion of texts of one length, [text, end]."""
+        m, n = logs.shape[:2]
+        out = np.zeros((m, n + 1))
+        for j in range(1, n + 1):
+            low = max(0, j - self.own.longest)
+            out[:, j] = self._sums(out[:, low:j] + logs[:, low:j, j])
+        return out
+
+    def _logs(self, ids: np.ndarray) -> np.ndarray:
+        return np.append(self.weights, -np.inf)[ids]
+
+    def all_words(self, words: list[bytes]) -> np.ndarray:
+        """``word`` of many words."""
+        texts = [START + w.decode("utf-8", "replace") for w in words]
+        out = np.zeros(len(texts))
+        for rows, ids in self._alike(texts):
+            out[rows] = self.forward(texts[rows[0]])[-1] if ids is None else self._ahead(self._logs(ids))[:, -1]
+        return out
+
+    def expect_all(self, words: list[bytes], weights: np.ndarray, into: np.ndarray) -> None:
+        """``expect`` of many words."""
+        texts = [START + w.decode("utf-8", "replace") for w in words]
+        for rows, ids in self._alike(texts):
+            if ids is None:
+                self.expect(words[rows[0]], float(weights[rows[0]]), into)
+                continue
+            logs = self._logs(ids)
+            ahead, n = self._ahead(logs), ids.shape[1]
+            back = np.zeros((len(rows), n + 1))
+            for i in range(n - 1, -1, -1):
+                high = min(n, i + self.own.longest) + 1
+                back[:, i] = self._sums(logs[:, i, i + 1:high] + back[:, i + 1:high])
+            share = np.exp(ahead[:, :n, None] + logs + back[:, None, :] - ahead[:, -1][:, None, None])
+            share *= weights[rows][:, None, None]
+            known = ids >= 0
+            into += np.bincount(ids[known], share[known], len(into))
+
     def expect(self, word: bytes, weight: float, into: np.ndarray) -> None:
         """Add the expected number of every piece in a word, times ``weight``."""
         text = START + word.decode("utf-8", "replace")
@@ -185,9 +248,8 @@ def piece_weights(counts: DataFrame, ends: int, path: str, rounds: int = ROUNDS)
     for _ in range(rounds):
         def again(frames: Iterator[pd.DataFrame], weights=weights) -> Iterator[pd.DataFrame]:
             lattice, seen = Lattice(path, weights), np.zeros(size)
-            for frame in frames:
-                for w, c in zip(frame["word"], frame["c"]):
-                    lattice.expect(w, float(c), seen)
+            for frame in pieces(frames, 4096):
+                lattice.expect_all(list(frame["word"]), frame["c"].to_numpy(float), seen)
             yield pd.DataFrame({"id": np.flatnonzero(seen), "n": seen[seen > 0]})
 
         weights = logarithms(path, _summed(learned.mapInPandas(again, "id bigint, n double"), size), ends)
@@ -218,7 +280,7 @@ def score(docs: DataFrame, path: str | None = None, doc_id: str = "doc_id", text
     lattice = Lattice(path, weights)
     known = np.array([c > 0 for _, c in usual] or [False])
     base = np.array([math.log10(c + 0.5) - bottom for _, c in usual] or [0.0])
-    logs = np.array([lattice.word(w) for w, _ in usual] or [0.0])
+    logs = lattice.all_words([w for w, _ in usual] or [b""])
 
     def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in pieces(frames, 256):
@@ -250,7 +312,7 @@ def score(docs: DataFrame, path: str | None = None, doc_id: str = "doc_id", text
                 continue
             yield pd.DataFrame({"word": frame["word"], "known": (frame["c"] > 0).astype(int),
                                 "base": np.log10(frame["c"].to_numpy(float) + 0.5) - bottom,
-                                "lattice": [lattice.word(w) for w in frame["word"]]})
+                                "lattice": lattice.all_words(list(frame["word"]))})
 
     table = counts.select("word", "c").mapInPandas(rare, "word binary, known bigint, base double, lattice double")
     asked = parts.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select(

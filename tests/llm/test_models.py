@@ -53,6 +53,16 @@ def test_expected_counts_spell_the_word(lattice):
     assert abs(sum(n * len(names[i]) for i, n in enumerate(into) if n) - 2 * 9) < 1e-6
 
 
+def test_many_words_at_once(lattice):
+    words = [b"the", b"whenever", "éà日".encode(), b"", b"x" * 50, b"the", "日本".encode(), b"abcdefgh"]
+    assert np.allclose(lattice.all_words(words), [lattice.word(w) for w in words])
+    one, many = np.zeros(lattice.own.size), np.zeros(lattice.own.size)
+    for k, w in enumerate(words):
+        lattice.expect(w, k + 1.0, one)
+    lattice.expect_all(words, np.arange(1.0, len(words) + 1), many)
+    assert np.allclose(one, many)
+
+
 def crc(x):
     return zlib.crc32(str(x).encode())
 
