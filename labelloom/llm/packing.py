@@ -19,6 +19,7 @@ broken by key and row number; an empty table gives no piece. Extra columns are i
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -31,9 +32,9 @@ from labelloom import scale
 from labelloom.llm.inputs import pieces, text_or_empty
 
 WINDOW, END = 4096, 2
-SHARD_TOKENS = 1_000_000
+SHARD_TOKENS = 600_000
 K1, B = 1.2, 0.75
-CACHE = 400_000
+CACHE = 1_200_000  # parts of texts whose ids a worker remembers
 VOCABULARY = "word_bpe_49k.json"
 
 
@@ -47,6 +48,7 @@ class Encoder:
     so the ids of a text are those of its blank-separated parts; common parts are encoded once."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on every core already
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
@@ -59,7 +61,7 @@ class Encoder:
         if len(known) + len(fresh) > CACHE:
             known.clear()
             fresh = list({p for ps in parts for p in ps})
-        for p, e in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False)):
+        for p, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
             known[p] = np.array(e.ids, self.kind).tobytes()
         return [np.frombuffer(b"".join([known[p] for p in ps]), self.kind) for ps in parts]
 
