@@ -5,7 +5,7 @@ coding; a block of more than ``SEGMENT`` code points is cut into a first record
 continuation records that name its id as origin, the last with the total length. Of pages with equal
 payloads of at least 1000 bytes, the one with the largest id is the response and the others are revisit
 records without payload. Records are written by Spark's text writer, so files lie wherever Spark can write,
-at most ``FILE_RECORDS`` records in each.
+at most ``FILE_RECORDS`` records in each, compressed as a whole.
 
 Reading parses files whole (they are bounded by the writer; an archive from elsewhere must have files that fit
 in a task) by the records' lengths, groups continuation records by origin, orders them by segment number,
@@ -112,7 +112,8 @@ def records(pages: DataFrame) -> DataFrame:
 
 def write(pages: DataFrame, path: str) -> None:
     """Write the archive of a table of pages as a folder of files."""
-    (records(pages).write.option("lineSep", "\n").option("maxRecordsPerFile", FILE_RECORDS).text(path))
+    (records(pages).write.option("lineSep", "\n").option("maxRecordsPerFile", FILE_RECORDS)
+     .option("compression", "gzip").text(path))
 
 
 HEADER = re.compile(rb"([!-9;-~]+):[ \t]*([^\r\n]*)\r?\n")
