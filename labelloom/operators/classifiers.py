@@ -9,8 +9,8 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import Binarizer, ElementwiseProduct
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import Binarizer, ElementwiseProduct, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -26,11 +26,18 @@ FEATURES_PER_SPLIT = "log2"
 DEEPEST = 30
 
 
+def effective_depth(max_depth: int | None) -> int:
+    """The depth that is fitted: no limit means the deepest that there is; more is refused."""
+    depth = DEEPEST if max_depth is None else int(max_depth)
+    if not 0 <= depth <= DEEPEST:
+        raise ValueError(f"max_depth must lie between 0 and {DEEPEST}, not {depth}")
+    return depth
+
+
 def _trees(n_estimators: int, max_depth: int | None, min_samples_leaf: int, seed: int,
            **more) -> RandomForestClassifier:
-    depth = DEEPEST if max_depth is None else min(int(max_depth), DEEPEST)
     return RandomForestClassifier(
-        numTrees=int(n_estimators), maxDepth=depth, minInstancesPerNode=int(min_samples_leaf),
+        numTrees=int(n_estimators), maxDepth=effective_depth(max_depth), minInstancesPerNode=int(min_samples_leaf),
         featureSubsetStrategy=FEATURES_PER_SPLIT, minInfoGain=MIN_GAIN, seed=seed,
         labelCol="label", featuresCol="features", **more)
 
@@ -89,7 +96,7 @@ class Ensemble:
         self.classes, self.hard = classes, hard
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Add ``class_votes`` (array, one entry per class) and ``prediction``."""
+        """Add ``class_votes`` (array, one entry per class), their shares ``probability``, ``prediction``."""
         columns = df.columns
         df = df.withColumn("class_votes", F.array(*[F.lit(0.0)] * self.classes))
         for i, chunk in enumerate(_chunks(len(self.members))):
@@ -101,7 +108,10 @@ class Ensemble:
             totals = F.aggregate(weighted, F.col("class_votes"),
                                  lambda a, v: F.zip_with(a, v, lambda x, y: x + y))
             df = votes.select(*columns, totals.alias("class_votes"))
-        return df.withColumn("prediction", _best_class(F.col("class_votes")))
+        total = F.aggregate("class_votes", F.lit(0.0), lambda a, v: a + v)
+        shares = F.transform("class_votes", lambda v: F.when(total > 0, v / total).otherwise(1.0 / self.classes))
+        return (df.withColumn("probability", array_to_vector(shares))
+                .withColumn("prediction", _best_class(F.col("class_votes"))))
 
     def save(self, folder: str) -> None:
         stages = [stage for member in self.members for stage in member.stages]
@@ -135,15 +145,17 @@ def _class_count(df: DataFrame) -> int:
 
 
 class RandomThresholdTrees:
-    """Extremely randomised trees: each tree draws one random threshold per feature.
+    """Extremely randomised trees: each tree draws ``cuts`` random thresholds per feature.
 
-    A tree scales every feature by the inverse of its threshold and compares with one, which
-    keeps the vectors sparse; the tree itself then only has on/off features to choose from.
+    The first lies close to zero, so a tree can tell whether a term occurs; the others lie anywhere up to
+    the largest value. A tree sees one on/off feature per threshold (a feature scaled by the inverse of the
+    threshold, compared with one), which keeps vectors sparse and gives deeper nodes fresh thresholds.
     """
 
     def __init__(self, n_estimators: int = 50, max_depth: int | None = 10,
-                 min_samples_leaf: int = 1, seed: int = CLASSIFIER_SEED, parallelism: int = 4):
-        self.n_estimators, self.max_depth = int(n_estimators), max_depth
+                 min_samples_leaf: int = 1, seed: int = CLASSIFIER_SEED, parallelism: int = 4,
+                 cuts: int = 4):
+        self.n_estimators, self.max_depth, self.cuts = int(n_estimators), max_depth, int(cuts)
         self.min_samples_leaf, self.seed, self.parallelism = min_samples_leaf, seed, parallelism
 
     def fit(self, df: DataFrame) -> Ensemble:
@@ -157,15 +169,18 @@ class RandomThresholdTrees:
         import numpy as np
 
         def job() -> PipelineModel:
-            draw = np.random.default_rng([self.seed, i])
-            thresholds = top * draw.uniform(1e-6, 1.0, len(top))
-            scaled = ElementwiseProduct(scalingVec=DenseVector(1.0 / thresholds),
-                                        inputCol="features", outputCol="_scaled")
-            on_off = Binarizer(threshold=1.0, inputCol="_scaled", outputCol="_on_off")
+            dice = np.random.default_rng([self.seed, i])
+            stages, names = [], []
+            for cut in range(self.cuts):
+                share = dice.uniform(1e-9, 1e-6, len(top)) if cut == 0 else dice.uniform(1e-6, 1.0, len(top))
+                names.append(f"_on_{cut}")
+                stages += [ElementwiseProduct(scalingVec=DenseVector(1.0 / (top * share)),
+                                              inputCol="features", outputCol=f"_scaled_{cut}"),
+                           Binarizer(threshold=1.0, inputCol=f"_scaled_{cut}", outputCol=names[-1])]
+            stages.append(VectorAssembler(inputCols=names, outputCol="_on_off"))
             tree = _trees(1, self.max_depth, self.min_samples_leaf, self.seed + i, bootstrap=False)
             tree.setFeaturesCol("_on_off").setMaxBins(2)
-            return PipelineModel([scaled, on_off, tree.fit(
-                on_off.transform(scaled.transform(df)))])
+            return PipelineModel([*stages, tree.fit(PipelineModel(stages).transform(df))])
         return job
 
 
@@ -174,8 +189,9 @@ class BoostedTrees:
 
     def __init__(self, base: Callable[..., RandomForestClassifier] = extra_trees, rounds: int = 10,
                  n_estimators: int = 10, max_depth: int | None = 10, seed: int = CLASSIFIER_SEED,
-                 stage_every: int = 5):
+                 stage_every: int = 5, min_samples_leaf: int = 1):
         self.base, self.rounds, self.n_estimators = base, int(rounds), n_estimators
+        self.min_samples_leaf = min_samples_leaf
         self.max_depth, self.seed, self.stage_every = max_depth, seed, stage_every
 
     def fit(self, df: DataFrame) -> Ensemble:
@@ -184,7 +200,7 @@ class BoostedTrees:
                               "boost")
         members, weights = [], []
         for i in range(self.rounds):
-            learner = self.base(self.n_estimators, self.max_depth, seed=self.seed + i)
+            learner = self.base(self.n_estimators, self.max_depth, self.min_samples_leaf, seed=self.seed + i)
             model = PipelineModel([learner.setWeightCol("weight").fit(current)])
             judged = model.transform(current).withColumn(
                 "_miss", (F.col("prediction") != F.col("label")).cast("double"))
@@ -288,11 +304,32 @@ class BaggedTrees:
     def oob_curve(self, df: DataFrame, smallest: int = 25) -> DataFrame:
         """Out-of-bag score for every ensemble size from ``smallest`` on.
 
-        Each tree is fitted once; the sizes are running sums over its votes.
+        Each tree is fitted once. The sizes are running sums over its votes inside the row; only counts of
+        right and counted rows per size are shuffled. Equal to :func:`curve` over :meth:`votes`.
         """
         ensemble = self.fit(df)
-        sizes = range(min(smallest, self.n_estimators), self.n_estimators + 1)
-        return curve(self.votes(ensemble, df), df, sizes)
+        smallest = min(smallest, self.n_estimators)
+        zeros = F.array(*[F.lit(0.0)] * ensemble.classes)
+        now = df.select("Id", "label", "features", zeros.alias("_totals"))
+        out = None
+        for i, chunk in enumerate(_chunks(len(ensemble.members))):
+            if i:
+                now = scale.stage(now, "votes")
+            voted = _member_votes(now, [ensemble.members[m] for m in chunk], ensemble.hard)
+            unseen = F.array(*[F.when(bag_weight(m, self.seed) == 0, 1.0).otherwise(0.0) for m in chunk])
+            votes = F.zip_with("_votes", unseen, lambda v, u: F.transform(v, lambda p: p * u))
+            # Totals after each tree of the chunk, the state before them first.
+            steps = F.aggregate(votes, F.array("_totals"), lambda a, v: F.concat(a, F.array(
+                F.zip_with(F.element_at(a, -1), v, lambda x, y: x + y))))
+            voted = voted.select("Id", "label", "features", steps.alias("_steps"))
+            at = voted.select("label", F.posexplode(F.slice("_steps", 2, len(chunk))).alias("n", "_totals"))
+            at = at.withColumn("n", F.col("n") + chunk.start + 1).filter(F.col("n") >= smallest)
+            rounded = F.transform("_totals", lambda v: F.round(v, 9))
+            counted = at.filter(F.array_max("_totals") > 0).groupBy("n").agg(
+                F.avg((_best_class(rounded) == F.col("label")).cast("double")).alias("oob_score"))
+            out = counted if out is None else out.unionByName(counted)
+            now = voted.select("Id", "label", "features", F.element_at("_steps", -1).alias("_totals"))
+        return out.select(F.col("n").cast("int").alias("n"), "oob_score")
 
 
 # --- feature importance ---------------------------------------------------------------------------

@@ -190,13 +190,20 @@ def compose_dictionary(lemmas: DataFrame, synonyms: DataFrame, lexicon: DataFram
         F.array_repeat("synonym", times)).alias("out"))
 
 
-def normalise(docs: DataFrame, tokens: str, dictionary: DataFrame, key: str = "Id") -> DataFrame:
-    """Replace each token by its dictionary output; unknown tokens stay. Keeps token order."""
-    stream = docs.select(key, F.posexplode(tokens).alias("at", "token"))
-    replaced = scale.attach(stream, dictionary.select("token", "out"), ["token"])
-    rebuilt = replaced.groupBy(key).agg(F.flatten(F.transform(
-        F.array_sort(F.collect_list(F.struct(
-            "at", F.coalesce("out", F.array("token")).alias("out")))),
-        lambda s: s["out"])).alias("_out"))
-    return (docs.join(rebuilt, key, "left")
-            .withColumn(tokens, F.coalesce("_out", F.array().cast("array<string>"))).drop("_out"))
+def normalise(docs: DataFrame, tokens: str, dictionary: DataFrame) -> DataFrame:
+    """Replace each token by its dictionary output; unknown tokens stay. Keeps token order.
+
+    Only the distinct tokens of a row that the dictionary holds move: they come back to their row as a
+    small map. Rows are told apart by a stored row number, so repeated ids stay apart.
+    """
+    entries = scale.stage(dictionary.groupBy("token").agg(
+        F.flatten(F.array_sort(F.collect_list("out"))).alias("out")), "dictionary")
+    rows = scale.stage(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    own = F.col(tokens)
+    asked = rows.select("_row", F.explode(F.array_distinct(own)).alias("token"))
+    found = scale.attach(asked, entries, ["token"], "inner").groupBy("_row").agg(
+        F.map_from_entries(F.collect_list(F.struct("token", "out"))).alias("_known"))
+    replaced = F.flatten(F.transform(own, lambda t: F.coalesce(
+        F.when(F.col("_known").isNotNull(), F.try_element_at("_known", t)), F.array(t))))
+    return (rows.join(found, "_row", "left")
+            .withColumn(tokens, F.coalesce(replaced, F.array().cast("array<string>"))).select(*docs.columns))

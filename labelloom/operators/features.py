@@ -83,11 +83,25 @@ def with_idf(pairs: DataFrame, idf: DataFrame) -> DataFrame:
     return common.unionByName(rare)
 
 
-def weights(pairs: DataFrame, idf: DataFrame, key: str = "Id") -> DataFrame:
-    """``tf * idf`` scaled to length one per document and branch, before any selection."""
-    raw = with_idf(pairs, idf).withColumn("w", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key, "branch")))
-    return raw.withColumn("w", F.col("w") / norm)
+def lengths(counted: DataFrame, idf: DataFrame, key: str = "Id") -> DataFrame:
+    """``(key, branch, norm)``: the length of ``tf * idf`` per document and branch, one number each."""
+    pairs = with_idf(term_counts(counted).select(key, "branch", "term", "tf"), idf)
+    value = F.col("tf") * F.col("idf")
+    return pairs.groupBy(key, "branch").agg(F.sqrt(F.sum(value * value)).alias("norm"))
+
+
+def scaled(counted: DataFrame, idf: DataFrame, key: str = "Id") -> DataFrame:
+    """The pairs of counted documents with ``u = tf / norm``. Only the unopened rows meet the lengths."""
+    with_norm = counted.join(lengths(counted, idf, key), [key, "branch"])
+    return term_counts(with_norm).withColumn("u", F.col("tf") / F.col("norm")).drop("norm")
+
+
+def weights(counted: DataFrame, idf: DataFrame, key: str = "Id") -> DataFrame:
+    """``tf * idf`` scaled to length one per document and branch, before any selection.
+
+    ``counted`` should be a stored table of counted arrays; it is read twice.
+    """
+    return with_idf(scaled(counted, idf, key), idf).withColumn("w", F.col("u") * F.col("idf")).drop("u")
 
 
 def feature_counts(pairs: DataFrame, key: str = "Id") -> DataFrame:

@@ -110,7 +110,10 @@ def evaluate(scored: DataFrame, metric: str = "accuracy", truth: str = "Category
         if score is None or positive is None:
             raise ValueError(f"{metric} needs a score column and the positive class")
         measure = roc_auc if metric == "roc_auc" else average_precision
-        return float(measure(scored, truth, score, positive).first()[0])
+        value = measure(scored, truth, score, positive).first()[0]
+        if value is None:
+            raise ValueError(f"{metric} needs rows of the class {positive!r} and of others; the rows to score lack one")
+        return float(value)
     counts = confusion(scored, truth, predicted)
     if metric == "accuracy":
         return float(accuracy(counts).first()[0])

@@ -19,22 +19,29 @@ def class_sizes(docs: DataFrame, label: str = "Category") -> DataFrame:
     return scale.pin(docs.groupBy(label).agg(F.count(F.lit(1)).alias("n_class")))
 
 
-def chi2_scores(weighted: DataFrame, docs: DataFrame, label: str = "Category") -> DataFrame:
+def with_term_idf(per_term: DataFrame, idf: DataFrame) -> DataFrame:
+    """Rows that are aggregated by term already, with the term's idf."""
+    return scale.attach(per_term, idf.select(*TERM, "idf"), TERM, "inner")
+
+
+def chi2_scores(scaled: DataFrame, idf: DataFrame, docs: DataFrame, label: str = "Category") -> DataFrame:
     """Chi-squared of each term's weight per class against the class shares.
 
-    With observed ``o``, expected ``e = share * total`` and both summing to ``total``, the sum of
-    ``(o - e)^2 / e`` over all classes is ``sum(o^2 / share) / total - total``: classes in which
+    A class's sum of weights is the term's idf times its sum of ``u``, so pairs are summed before they
+    meet the idf table. With observed ``o``, expected ``e = share * total`` and both summing to ``total``,
+    the sum of ``(o - e)^2 / e`` over all classes is ``sum(o^2 / share) / total - total``: classes in which
     the term never occurs drop out, so zero cells never become rows.
     """
     n = docs.agg(F.count(F.lit(1))).scalar()
-    observed = weighted.groupBy(*TERM, label).agg(F.sum("w").alias("o"))
+    sums = with_term_idf(scaled.groupBy(*TERM, label).agg(F.sum("u").alias("u")), idf)
+    observed = sums.select(*TERM, label, (F.col("u") * F.col("idf")).alias("o"))
     cells = (scale.attach(observed, class_sizes(docs, label), [label])
              .withColumn("share", F.col("n_class") / n))
     return cells.groupBy(*TERM).agg(
         (F.sum(F.col("o") * F.col("o") / F.col("share")) / F.sum("o") - F.sum("o")).alias("score"))
 
 
-def mutual_information(weighted: DataFrame, docs: DataFrame, label: str = "Category",
+def mutual_information(scaled: DataFrame, idf: DataFrame, docs: DataFrame, label: str = "Category",
                        digits: int = 12) -> DataFrame:
     """Mutual information of each term's (discrete) weight and the class.
 
@@ -42,8 +49,9 @@ def mutual_information(weighted: DataFrame, docs: DataFrame, label: str = "Categ
     the classes the term never meets share one closed expression.
     """
     n = docs.agg(F.count(F.lit(1))).scalar()
-    value = F.round("w", digits).alias("x")
-    cells = (weighted.groupBy(*TERM, label, value).agg(F.count(F.lit(1)).alias("cell")))
+    equal = with_term_idf(scaled.groupBy(*TERM, label, "u").agg(F.count(F.lit(1)).alias("cell")), idf)
+    value = F.round(F.col("u") * F.col("idf"), digits).alias("x")
+    cells = equal.groupBy(*TERM, label, value).agg(F.sum("cell").alias("cell"))
     cells = scale.attach(cells, class_sizes(docs, label), [label])
     by_value = cells.groupBy(*TERM, "x").agg(
         F.sum("cell").alias("n_x"),

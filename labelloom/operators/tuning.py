@@ -19,12 +19,22 @@ from labelloom.operators import metrics as M
 from labelloom.operators.split import folds
 from labelloom.operators.vectors import fit_features
 
-CLASSIFIERS = {"extra_trees": C.extra_trees, "random_forest": C.random_forest}
+CLASSIFIERS = {"extra_trees": C.extra_trees, "random_forest": C.random_forest,
+               "random_threshold_trees": C.RandomThresholdTrees,
+               "boosted_trees": lambda n_estimators, max_depth, min_samples_leaf: C.BoostedTrees(
+                   n_estimators=n_estimators, max_depth=max_depth, min_samples_leaf=min_samples_leaf)}
 # What a candidate means where it says nothing.
 DEFAULTS = {"k": 4000, "score": "chi2", "without": "", "classifier": "extra_trees",
             "n_estimators": 200, "max_depth": 10, "min_samples_leaf": 1}
 
 
+def effective(space: dict) -> dict:
+    """The space with the depths that are fitted; one that cannot be fitted is an error."""
+    if "max_depth" not in space:
+        return dict(space)
+    return {**space, "max_depth": list(dict.fromkeys(map(C.effective_depth, space["max_depth"])))}
+
+
 def grid(space: dict) -> list[dict]:
     """Every combination of the value lists."""
     names = sorted(space)
@@ -183,7 +193,7 @@ def search(docs: DataFrame, branches: Sequence, method: str, space: dict, settin
     """Run one of ``grid``, ``randomized`` and ``evolutionary`` on cross-validated scores."""
     validation = CrossValidation(docs, branches, settings["folds"], metric, positive, leak_free,
                                  parallelism)
-    spark = docs.sparkSession
+    spark, space = docs.sparkSession, effective(space)
     if method == "grid":
         return search_candidates(spark, grid(space), validation.score)
     if method == "randomized":

@@ -113,7 +113,7 @@ def fit_features(docs: DataFrame, branches: Sequence[FT.Branch], k: int, score:
                  label: str = "Category", key: str = "Id") -> FittedFeatures:
     """Weigh all terms, keep the ``k`` best against the label, prepare the vector stages."""
     counts, idf = fit_idf(docs, branches, label, key)
-    scores = SCORES[score](FT.weights(FT.term_counts(counts), idf, key), docs, label)
+    scores = SCORES[score](FT.scaled(counts, idf, key), idf, docs, label)
     return with_selection(branches, idf, scale.pin(S.select_k_best(scores, k)), counts)
 
 

@@ -245,21 +245,24 @@ def _(spark, folder):
 
 
 def citations(spark, folder) -> DataFrame:
-    """Citation records shaped from the documents: headings and keyword lists, some missing."""
-    parts = T.words(F.col("text"))
+    """Citation records shaped from the whole documents: every distinct word is a heading, every line a
+    keyword list; some records lack one or the other."""
+    headings = F.array_sort(F.array_distinct(T.words(F.col("text"))))
     return documents(spark, folder).select(
         F.col("doc_id").alias("cit_id"), F.col("text").alias("title"),
         F.when(F.col("source") != "src1", F.transform(
-            F.slice(parts, 1, 3), lambda w: F.struct(w.alias("DescriptorName")))).alias("mesh"),
-        F.when(F.col("lang") != "de", F.array(F.slice(parts, 4, 2), F.slice(parts, 6, 2)))
+            headings, lambda w: F.struct(w.alias("DescriptorName")))).alias("mesh"),
+        F.when(F.col("lang") != "de", F.transform(F.split("text", "\n"), lambda line: T.words(line)))
         .alias("keyword_lists"))
 
 
-_ALL_WORDS = "regexp_extract_all(strip_accents(lower(text)), '[\\p{L}\\p{N}_]{2,}')"
+_ALL_WORDS = "regexp_extract_all(strip_accents(lower({0})), '[\\p{{L}}\\p{{N}}_]{{2,}}')"
 KEYWORDS_SQL = f"""
 SELECT doc_id AS Id,
-       CASE WHEN source <> 'src1' THEN array_to_string(({_ALL_WORDS})[1:3], ';') ELSE '' END AS Terms,
-       CASE WHEN lang <> 'de' THEN array_to_string(({_ALL_WORDS})[4:5], ';') ELSE '' END AS Keywords
+       CASE WHEN source <> 'src1'
+            THEN array_to_string(list_sort(list_distinct({_ALL_WORDS.format('text')})), ';') ELSE '' END AS Terms,
+       CASE WHEN lang <> 'de'
+            THEN array_to_string({_ALL_WORDS.format("string_split(text, chr(10))[1]")}, ';') ELSE '' END AS Keywords
 FROM documents"""
 
 
@@ -541,7 +544,12 @@ def pairs_of(docs: DataFrame, *branches: FT.Branch) -> DataFrame:
 
 def weighted_of(docs: DataFrame, *branches: FT.Branch) -> tuple[DataFrame, DataFrame]:
     counts, idf = V.fit_idf(docs, branches)
-    return FT.weights(FT.term_counts(counts), idf), idf
+    return FT.weights(counts, idf), idf
+
+
+def scaled_of(docs: DataFrame, *branches: FT.Branch) -> tuple[DataFrame, DataFrame]:
+    counts, idf = V.fit_idf(docs, branches)
+    return FT.scaled(counts, idf), idf
 
 
 @query("term_counts", f"""
@@ -651,14 +659,16 @@ SELECT Id, term, CAST(tf AS BIGINT) AS tf,
 def _(spark, folder):
     split = SP.holdout(multiclass(spark, folder))
     _, idf = V.fit_idf(split.filter("NOT is_test"), [WORDS1])
-    new = pairs_of(split.filter("is_test"), WORDS1)
+    new = scale.stage(FT.doc_terms(split.filter("is_test"), [WORDS1], ["Id"]), "counts")
     return FT.weights(new, idf).select("Id", "term", "tf", r6("w"))
 
 
 # --- selection -----------------------------------------------------------------------------------------
 
-CHI2_SQL = f"""
-{tfidf_sql(WORDS2_SQL)},
+def chi2_sql(occurrences: str) -> str:
+    """Common table expressions up to ``scores(branch, term, score)`` against the language."""
+    return f"""
+{tfidf_sql(occurrences)},
 classes AS (SELECT lang AS Category, count(*) / (SELECT count(*) FROM documents) AS share
             FROM documents GROUP BY lang),
 observed AS (SELECT branch, term, lang AS Category, sum(w) AS o
@@ -671,10 +681,12 @@ scores AS (SELECT t.branch, t.term,
                                AND o.Category = c.Category GROUP BY ALL)"""
 
 
-def chi2_of(spark, folder) -> DataFrame:
+CHI2_SQL = chi2_sql(WORDS2_SQL)
+
+
+def chi2_of(spark, folder, branch=WORDS2) -> DataFrame:
     docs = multiclass(spark, folder)
-    weighted, _ = weighted_of(docs, WORDS2)
-    return S.chi2_scores(weighted, docs)
+    return S.chi2_scores(*scaled_of(docs, branch), docs)
 
 
 @query("chi_squared", f"WITH {CHI2_SQL} SELECT term, round(score, 6) AS score FROM scores")
@@ -698,8 +710,7 @@ FROM sums JOIN classes USING (Category), (SELECT count(*) AS n FROM documents)
 GROUP BY term""")
 def _(spark, folder):
     docs = multiclass(spark, folder)
-    weighted, _ = weighted_of(docs, WORDS1)
-    scores = S.mutual_information(weighted, docs)
+    scores = S.mutual_information(*scaled_of(docs, WORDS1), docs)
     return scores.select("term", (F.round("score", 6) + F.lit(0.0)).alias("score"))
 
 
@@ -726,7 +737,8 @@ def _(spark, folder):
     docs = multiclass(spark, folder)
     fitted = V.fit_features(docs, [WORDS2], 200)
     entries = fitted.transform(docs).select(
-        "Id", F.posexplode(vector_to_array("features")).alias("position", "w")).filter("w <> 0")
+        "Id", F.inline(F.filter(F.transform(vector_to_array("features"), lambda w, i: F.struct(
+            i.alias("position"), w.alias("w"))), lambda e: e["w"] != 0)))
     named = scale.attach(entries, fitted.selected_terms(), ["position"], "inner")
     return named.select("Id", "term", r6("w"))
 
@@ -949,115 +961,244 @@ def _(spark, folder):
     return C.curve(votes(spark, folder), truth, range(1, 13)).select("n", r6("oob_score"))
 
 
-# --- models (no SQL form) --------------------------------------------------------------------------------------
+# --- enrichment end to end ------------------------------------------------------------------------------------
 
-SMALL = {"score": "chi2", "k": 200, "n_estimators": 30, "max_depth": 6}
+BEST_RECORD_SQL = f"""
+a AS (SELECT item_id AS Id, unnest(list_distinct({words_sql('text')})) AS term FROM benchmark),
+c AS (SELECT doc_id AS cit_id, unnest(list_distinct({words_sql('text')})) AS term FROM documents),
+i AS (SELECT term, ln((1 + (SELECT count(*) FROM documents)) / (1 + count(*))) + 1 AS idf
+      FROM c GROUP BY term),
+s AS (SELECT a.Id, c.cit_id, round(sum(i.idf), 9) AS relevance
+      FROM a JOIN c USING (term) JOIN i USING (term) GROUP BY ALL),
+b AS (SELECT *, row_number() OVER (PARTITION BY Id ORDER BY relevance DESC, cit_id) AS r FROM s)"""
 
 
-@query("categorise_held_out")
+@query("enrich_articles", f"""
+WITH {BEST_RECORD_SQL}
+SELECT m.item_id AS Id, md5(coalesce(Terms, '')) AS terms_md5, md5(coalesce(Keywords, '')) AS keywords_md5
+FROM benchmark m LEFT JOIN b ON m.item_id = b.Id AND b.r = 1 LEFT JOIN ({KEYWORDS_SQL}) k ON k.Id = b.cit_id""")
 def _(spark, folder):
-    """Which category is each held-out document? Extra trees on the 200 best word terms."""
-    scored = W.score(multiclass(spark, folder), SMALL, [WORDS1]).scored
+    """Titles to their most relevant record, whose terms and keywords are written as a side table and read."""
+    asked = spark.read.parquet(f"{folder}/benchmark.parquet").select(
+        F.col("item_id").alias("Id"), F.col("text").alias("Title"), F.lit("").alias("Abstract"))
+    path = f"{scale.shared_folder(spark)}/labelloom/csv-{uuid.uuid4().hex}"
+    K.write_side_table(W.enrich(asked, citations(spark, folder), STOP), path)
+    side = A.fill_missing(A.read_side_table(spark, path))
+    return side.select("Id", F.md5("Terms").alias("terms_md5"), F.md5("Keywords").alias("keywords_md5"))
+
+
+@query("preprocess_with_dictionary", f"""
+WITH {DICTIONARY_SQL},
+spread AS (SELECT doc_id, place, CASE WHEN synonym IS NULL THEN lemma ELSE synonym END AS word,
+                  CASE WHEN synonym IS NULL THEN 1 ELSE len({_SYNONYM_TOKENS}) END AS times
+           FROM named)
+SELECT d.doc_id AS Id, md5(coalesce(s.words, '')) AS h
+FROM documents d LEFT JOIN (
+  SELECT doc_id, rtrim(string_agg(repeat(word || ';', CAST(times AS BIGINT)), '' ORDER BY place), ';') AS words
+  FROM spread GROUP BY doc_id) s ON d.doc_id = s.doc_id""")
+def _(spark, folder):
+    docs = W.preprocess(multiclass(spark, folder), STOP, dictionary(spark))
+    return docs.select("Id", F.md5("Tokens").alias("h"))
+
+
+# --- models on a planted rule ---------------------------------------------------------------------------------
+#
+# The class of a document is whether a certain word is among its terms. With one kept term, that term is the
+# word, and every ensemble must give the rule back, which SQL states as well.
+
+RULE = "that"
+ONE = {"score": "chi2", "k": 1, "classifier": "extra_trees", "n_estimators": 8, "max_depth": 4}
+PLANTED_SQL = f"""
+SELECT doc_id AS Id, CASE WHEN list_contains({words_sql('text')}, '{RULE}') THEN 'with' ELSE 'without' END AS Category
+FROM documents"""
+PLANTED_SPLIT_SQL = f"""
+rule AS ({PLANTED_SQL}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY Category
+             ORDER BY md5(concat_ws('-', CAST(Id AS VARCHAR), '123456')), Id) AS r,
+           count(*) OVER (PARTITION BY Category) AS n FROM rule),
+split AS (SELECT Id, Category, r <= floor(n * 0.25 + 0.5) AS is_test FROM ranked)"""
+NUMBERED_SQL = f"""
+SELECT Id, CASE Category WHEN 'with' THEN 0.0 ELSE 1.0 END::DOUBLE AS label, label AS prediction FROM ({PLANTED_SQL})"""
+
+
+def planted(spark, folder) -> DataFrame:
+    has = F.array_contains(T.words(F.col("Text"), STOP), RULE)
+    return multiclass(spark, folder).withColumn("Category", F.when(has, "with").otherwise("without"))
+
+
+# Where rows are predicted that were not trained on, a weight below all trained ones must not decide: there the
+# rule word stands in a short list of terms, next to language and source, and its weight hardly varies.
+TERMS = FT.Branch("terms", "Terms", "list", (1, 1))
+
+
+def planted_terms(spark, folder) -> DataFrame:
+    word = F.when(F.col("Category") == "with", RULE)
+    more = documents(spark, folder).select(F.col("doc_id").alias("Id"), "lang", "source")
+    return planted(spark, folder).drop("Text").join(more, "Id").select(
+        "Id", F.lit("").alias("Text"), F.concat_ws(";", word, "lang", "source").alias("Terms"), "Category")
+
+
+def realistic(spark: SparkSession, folder: str) -> DataFrame:
+    """Which language is each held-out document in? Extra trees on the 200 best word terms."""
+    scored = W.score(multiclass(spark, folder), {"score": "chi2", "k": 200, "n_estimators": 30, "max_depth": 6},
+                     [WORDS1]).scored
     return scored.select("Id", "Category", "predicted")
 
 
-@query("train_and_predict")
+@query("categorise_held_out", f"""
+WITH {PLANTED_SPLIT_SQL} SELECT Id, Category, Category AS predicted FROM split WHERE is_test""")
 def _(spark, folder):
-    """Random forest trained on labelled documents, applied to all documents."""
-    docs = documents(spark, folder).select(F.col("doc_id").alias("Id"), F.col("text").alias("Text"))
-    side = labels(spark, folder).select(
-        F.col("doc_id").alias("Id"), F.col("quality").cast("string").alias("Category"))
-    model = W.train(A.join_side_table(docs, side), {**SMALL, "classifier": "random_forest"}, [CHARS])
-    return W.predict(model, docs)
+    scored = W.score(planted(spark, folder), ONE, [WORDS1]).scored
+    return scored.select("Id", "Category", "predicted")
 
 
-@query("saved_model_predicts")
+@query("train_and_predict", PLANTED_SQL)
 def _(spark, folder):
-    """Predictions of a model that was written and read back, next to those before."""
-    docs = multiclass(spark, folder)
-    model = W.train(docs, SMALL, [WORDS1])
+    """Random forest trained on the labelled documents, applied to all documents."""
+    docs = planted_terms(spark, folder)
+    some = labels(spark, folder).select(F.col("doc_id").alias("Id"))
+    model = W.train(scale.attach(docs, some, ["Id"], "left_semi"), {**ONE, "classifier": "random_forest"}, [TERMS])
+    return W.predict(model, docs.drop("Category"))
+
+
+@query("stage_metrics", f"""
+WITH {PLANTED_SPLIT_SQL}
+SELECT 'split' AS stage, count(*) AS rows, CAST(1 AS BIGINT) AS features FROM split
+UNION ALL SELECT 'fit', count(*), 1 FROM split WHERE NOT is_test
+UNION ALL SELECT 'evaluate', count(*), 1 FROM split WHERE is_test""")
+def _(spark, folder):
+    """Rows and features of each step of an evaluation; its seconds are not repeatable."""
+    return W.score(planted(spark, folder), ONE, [WORDS1]).metrics.drop("seconds")
+
+
+def same(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``(Id, same)`` of two prediction tables; an Id of one side alone is not the same."""
+    both = left.join(right.withColumnsRenamed({"Id": "_id", "Category": "_other"}), F.col("Id") == F.col("_id"), "full_outer")
+    return both.select(F.coalesce("Id", "_id").alias("Id"),
+                       (F.col("Id").isNotNull() & F.col("Category").eqNullSafe(F.col("_other"))).alias("same"))
+
+
+SAME_SQL = "SELECT doc_id AS Id, TRUE AS same FROM documents"
+
+
+def saved_and_loaded(spark, folder, **changes) -> DataFrame:
+    docs = planted(spark, folder)
+    model = W.train(docs, {**ONE, **changes}, [WORDS1])
     path = f"{scale.shared_folder(spark)}/labelloom/model-{uuid.uuid4().hex}"
     model.save(path)
-    again = W.LabelModel.load(spark, path).predict(docs).withColumnRenamed("Category", "reloaded")
-    return model.predict(docs).join(again, "Id")
+    return same(model.predict(docs), W.LabelModel.load(spark, path).predict(docs))
 
 
-@query("stage_metrics")
+@query("saved_model_predicts", SAME_SQL)
 def _(spark, folder):
-    """Rows, features and seconds of each step of an evaluation."""
-    return W.score(multiclass(spark, folder), SMALL, [WORDS1]).metrics
+    """A model that was written and read back predicts as before."""
+    return saved_and_loaded(spark, folder, k=50)
 
 
-@query("score_stream")
+@query("saved_ensemble_predicts", SAME_SQL)
 def _(spark, folder):
-    """Predictions written while the documents arrive as a stream of files."""
-    docs = multiclass(spark, folder)
-    model = W.train(docs, SMALL, [WORDS1])
+    return saved_and_loaded(spark, folder, k=20, classifier="random_threshold_trees", n_estimators=3)
+
+
+@query("score_stream", SAME_SQL)
+def _(spark, folder):
+    """Predictions made while documents arrive as a stream of files are those made in one batch."""
+    docs = planted(spark, folder)
+    model = W.train(docs, ONE, [WORDS1])
     place = f"{scale.shared_folder(spark)}/labelloom/stream-{uuid.uuid4().hex}"
     arriving = spark.read.parquet(f"{folder}/documents.parquet").schema
     score_stream(spark, model, f"{folder}/documents*.parquet", arriving, f"{place}/out",
                  f"{place}/progress", prepare=lambda df: df.select(
                      F.col("doc_id").alias("Id"), F.col("text").alias("Text"))).awaitTermination()
-    return spark.read.parquet(f"{place}/out").select("Id", "Category")
+    return same(model.predict(docs), spark.read.parquet(f"{place}/out").select("Id", "Category"))
 
 
-def vectors_of(spark, folder, k: int = 100) -> DataFrame:
-    docs = multiclass(spark, folder)
-    fitted = V.fit_features(docs, [WORDS1], k)
+def trained(spark, folder, classifier: str, **changes) -> DataFrame:
+    """Labels and predictions of a model on the documents it was trained on."""
+    docs = planted(spark, folder)
+    scored = W.train(docs, {**ONE, "classifier": classifier, **changes}, [WORDS1]).score(docs)
+    return TU.with_label(scored, ["with", "without"]).select("Id", "label", "prediction")
+
+
+@query("random_threshold_trees", NUMBERED_SQL)
+def _(spark, folder):
+    return trained(spark, folder, "random_threshold_trees", n_estimators=4)
+
+
+@query("boosted_trees", NUMBERED_SQL)
+def _(spark, folder):
+    return trained(spark, folder, "boosted_trees", n_estimators=4)
+
+
+def planted_vectors(spark, folder) -> DataFrame:
+    docs = planted_terms(spark, folder)
+    fitted = V.fit_features(docs, [TERMS], 1)
     return scale.stage(TU.with_label(fitted.transform(docs), TU.label_table(docs)).select(
         "Id", "Category", "label", "features"), "vectors")
 
 
-@query("random_threshold_trees")
-def _(spark, folder):
-    rows = vectors_of(spark, folder)
-    return C.RandomThresholdTrees(8, 5).fit(rows).transform(rows).select("Id", "label", "prediction")
+OOB_SQL = "SELECT CAST(unnest(range(3, 9)) AS INTEGER) AS n, 1.0::DOUBLE AS oob_score FROM (SELECT count(*) FROM documents)"
 
 
-@query("boosted_trees")
+@query("oob_curve", OOB_SQL)
 def _(spark, folder):
-    rows = vectors_of(spark, folder)
-    return C.BoostedTrees(rounds=3, n_estimators=5, max_depth=3).fit(rows).transform(rows).select(
-        "Id", "label", "prediction")
+    return C.BaggedTrees(8, 5).oob_curve(planted_vectors(spark, folder), 3)
 
 
-@query("oob_curve")
+@query("oob_curve_csv", OOB_SQL)
 def _(spark, folder):
-    return C.BaggedTrees(8, 5).oob_curve(vectors_of(spark, folder), 3)
+    """The curve written as a file and read back."""
+    path = f"{scale.shared_folder(spark)}/labelloom/csv-{uuid.uuid4().hex}"
+    K.write_oob_curve(C.BaggedTrees(8, 5).oob_curve(planted_vectors(spark, folder), 3), path)
+    return spark.read.schema("n int, oob_score double").csv(path, header=True)
 
 
-@query("feature_importances")
+@query("feature_importances", f"""
+WITH {chi2_sql(WORDS1_SQL)} SELECT branch, term FROM scores
+ORDER BY round(scores.score, 9) DESC, branch DESC, term DESC LIMIT 200""")
 def _(spark, folder):
-    docs = multiclass(spark, folder)
-    model = W.train(docs, SMALL, [WORDS1])
-    return C.feature_importances(model.classifier, model.features.selected_terms())
+    """The terms that a model's importances speak of are those that were selected."""
+    model = W.train(multiclass(spark, folder), {**ONE, "k": 200}, [WORDS1])
+    found = C.feature_importances(model.classifier, model.features.selected_terms())
+    return found.filter("rank > 0 and importance >= 0 and std >= 0").select("branch", "term")
 
 
-@query("sweep_selected_terms")
+@query("sweep_selected_terms", "SELECT CAST(1 AS INTEGER) AS k, 1.0::DOUBLE AS score FROM (SELECT count(*) FROM documents)")
 def _(spark, folder):
-    return W.sweep_selection(multiclass(spark, folder), [WORDS1], (50, 200), 4, 4)
+    return W.sweep_selection(planted_terms(spark, folder), [TERMS], (1,), 4, 4)
+
+
+# A tree of depth 0 says the larger class of its training rows; one of depth 1 tells the rule.
+SEARCH_SQL = f"""
+folded AS (SELECT Id, Category, ntile(2) OVER (PARTITION BY Category ORDER BY Id) - 1 AS fold FROM ({PLANTED_SQL})),
+sizes AS (SELECT fold, Category, count(*) AS n FROM folded GROUP BY ALL),
+larger AS (SELECT 1 - fold AS fold, arg_max(Category, n) AS Category FROM sizes GROUP BY fold),
+shares AS (SELECT fold, sum(n) FILTER (sizes.Category = larger.Category) / sum(n) AS score
+           FROM sizes JOIN larger USING (fold) GROUP BY fold),
+found AS (SELECT 0 AS max_depth, max(score) FILTER (fold = 0) AS fold_0, max(score) FILTER (fold = 1) AS fold_1 FROM shares
+          UNION ALL SELECT 1, 1.0, 1.0)
+SELECT CAST(max_depth AS VARCHAR) AS max_depth, round(fold_0, 6) AS fold_0, round(fold_1, 6) AS fold_1,
+       round((fold_0 + fold_1) / 2, 6) AS mean_score, CAST(2 - max_depth AS INTEGER) AS rank FROM found"""
 
 
-def _search(spark, folder, method: str, space: dict, **settings) -> DataFrame:
-    found = W.tune(multiclass(spark, folder), method, "f1_macro", [WORDS1], space=space,
-                   settings=settings)[1]
-    return found.table.withColumn("params", F.to_json("params"))
+def _search(spark, folder, method: str, **settings) -> DataFrame:
+    space = {"k": [1], "max_depth": [0, 1], "n_estimators": [3]}
+    found = W.tune(planted_terms(spark, folder), method, "accuracy", [TERMS], space=space,
+                   settings={"folds": 2, **settings})[1]
+    return found.table.select(F.col("params")["max_depth"].alias("max_depth"), r6("fold_0"), r6("fold_1"),
+                              r6("mean_score"), "rank")
 
 
-@query("grid_search")
+@query("grid_search", f"WITH {SEARCH_SQL}")
 def _(spark, folder):
-    return _search(spark, folder, "grid", {"k": [100], "max_depth": [2, 5], "n_estimators": [5]},
-                   folds=2)
+    return _search(spark, folder, "grid")
 
 
-@query("randomized_search")
+@query("randomized_search", f"WITH {SEARCH_SQL}")
 def _(spark, folder):
-    return _search(spark, folder, "randomized",
-                   {"k": [100], "max_depth": [2, 5], "n_estimators": [5, 10]}, n_iter=2, folds=2)
+    return _search(spark, folder, "randomized", n_iter=2)
 
 
-@query("evolutionary_search")
+@query("evolutionary_search", f"WITH {SEARCH_SQL}")
 def _(spark, folder):
-    return _search(spark, folder, "evolutionary",
-                   {"k": [100], "max_depth": [2, 5], "n_estimators": [4, 8]},
-                   population=4, generations=1)
+    return _search(spark, folder, "evolutionary", population=6, generations=1)

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from labelloom.functions import text as T
+from labelloom.operators.classifiers import DEEPEST
 from labelloom.operators.features import Branch
 
 HOLDOUT_FRACTION = 0.25
 SELECTED_TERMS = 4000
 
 
-def branches(shape: str, optional: tuple[str, ...] = (), stop_words: tuple[str, ...] = ()
+def branches(shape: str, optional: tuple[str, ...] = (), stop_words: tuple[str, ...] | None = None
              ) -> list[Branch]:
-    """The branches of a shape, plus any of the optional binary ones by name."""
+    """The branches of a shape, plus any of the optional binary ones by name.
+
+    Word branches leave out the English stop words that ship with Spark unless told otherwise.
+    """
+    stop_words = tuple(T.default_stop_words() if stop_words is None else stop_words)
     if shape == "multi-class":
         return [Branch("tokens", "Tokens", "list", (1, 3)),
                 Branch("text_words", "Text", "words", (1, 2), stop_words),
@@ -26,15 +32,16 @@ def branches(shape: str, optional: tuple[str, ...] = (), stop_words: tuple[str,
     return [Branch("tokens", "Tokens", "list", (1, 2)), *[known[name] for name in optional]]
 
 
-# The parameters used without a search.
+# The parameters used without a search. Trees without a depth limit grow as deep as Spark ML can.
 FIXED = {
     "binary": {"score": "mutual_information", "k": 4000, "classifier": "extra_trees",
-               "n_estimators": 1531, "max_depth": None},
+               "n_estimators": 1531, "max_depth": DEEPEST},
     "multi-class": {"score": "chi2", "k": 750, "classifier": "extra_trees",
                     "n_estimators": 1200, "max_depth": 10},
 }
 
-# Candidate values per search method and shape.
+# Candidate values per search method and shape. ``without`` leaves a branch out. A depth of 40
+# stands for the deepest tree that Spark ML grows.
 SPACES = {
     "grid": {
         "binary": {"max_depth": [2, 5], "n_estimators": [10, 80],
@@ -48,8 +55,8 @@ SPACES = {
                         "n_estimators": [10, 20, 50, 80, 300], "without": ["", "tokens"]},
     },
     "evolutionary": {
-        "binary": {"max_depth": [2, 10, 40], "n_estimators": [10, 80]},
-        "multi-class": {"k": [1000], "max_depth": [2, 10, 40], "n_estimators": [10, 80, 300],
+        "binary": {"max_depth": [2, 10, DEEPEST], "n_estimators": [10, 80]},
+        "multi-class": {"k": [1000], "max_depth": [2, 10, DEEPEST], "n_estimators": [10, 80, 300],
                         "without": ["", "tokens"]},
     },
 }

@@ -19,7 +19,7 @@ from labelloom.operators import metrics as M
 from labelloom.operators import selection as S
 from labelloom.operators import tuning
 from labelloom.operators import vectors as V
-from labelloom.operators.features import term_counts, weights
+from labelloom.operators.features import scaled
 from labelloom.operators.split import holdout
 from labelloom.plans import config
 from labelloom.sources import articles as A
@@ -36,11 +36,11 @@ def preprocess(docs: DataFrame, stop_words: Iterable[str] | None = None,
     return out.withColumn("Tokens", T.join_list(F.col("Tokens")))
 
 
-def enrich(docs: DataFrame, corpus: DataFrame) -> DataFrame:
+def enrich(docs: DataFrame, corpus: DataFrame, stop_words: Iterable[str] = ()) -> DataFrame:
     """The side table of terms and keywords; only for articles with titles."""
     if A.detect_shape(docs) != "binary":
         raise ValueError("keywords and terms are looked up by title; these articles have none")
-    return E.lookup(docs, corpus)
+    return E.lookup(docs, corpus, stop_words=stop_words)
 
 
 def identified(docs: DataFrame) -> DataFrame:
@@ -73,16 +73,21 @@ class LabelModel:
     def save(self, folder: str) -> None:
         spark = self.features.idf.sparkSession
         self.features.save(f"{folder}/features")
-        PipelineModel([self.classifier]).write().overwrite().save(f"{folder}/classifier")
-        meta = json.dumps({"classes": self.classes, "params": self.params})
+        several = isinstance(self.classifier, C.Ensemble)
+        if several:
+            self.classifier.save(f"{folder}/classifier")
+        else:
+            PipelineModel([self.classifier]).write().overwrite().save(f"{folder}/classifier")
+        meta = json.dumps({"classes": self.classes, "params": self.params, "several": several})
         spark.createDataFrame([(meta,)], "meta string").coalesce(1).write.mode("overwrite").json(
             f"{folder}/model")
 
     @classmethod
     def load(cls, spark: SparkSession, folder: str) -> "LabelModel":
         meta = json.loads(spark.read.schema("meta string").json(f"{folder}/model").first()[0])
-        return cls(V.FittedFeatures.load(spark, f"{folder}/features"),
-                   PipelineModel.load(f"{folder}/classifier").stages[0],
+        classifier = (C.Ensemble.load(spark, f"{folder}/classifier") if meta.get("several")
+                      else PipelineModel.load(f"{folder}/classifier").stages[0])
+        return cls(V.FittedFeatures.load(spark, f"{folder}/features"), classifier,
                    meta["classes"], meta["params"])
 
 
@@ -96,7 +101,8 @@ def available(docs: DataFrame, branches: Sequence) -> list:
 
 def parameters(shape: str, **changes) -> dict:
     """The fixed parameters of a shape, with changes."""
-    return {**tuning.DEFAULTS, **config.FIXED[shape], **changes}
+    out = {**tuning.DEFAULTS, **config.FIXED[shape], **changes}
+    return {**out, "max_depth": C.effective_depth(out["max_depth"])}
 
 
 def tune(docs: DataFrame, method: str = "config", metric: str = "accuracy",
@@ -107,7 +113,7 @@ def tune(docs: DataFrame, method: str = "config", metric: str = "accuracy",
     shape = A.detect_shape(docs)
     if method == "config":
         return parameters(shape), None
-    docs = A.labelled(docs)
+    docs = identified(A.labelled(docs))
     branches = available(docs, branches or config.branches(shape))
     space = dict(space or config.SPACES[method][shape])
     if len(branches) < 2:
@@ -122,7 +128,7 @@ def train(docs: DataFrame, params: dict | None = None, branches: Sequence | None
           ) -> LabelModel:
     """Fit features and classifier on all labelled rows."""
     shape = A.detect_shape(docs)
-    params = {**parameters(shape), **(params or {})}
+    params = parameters(shape, **(params or {}))
     rows = identified(A.labelled(docs))
     used = [b for b in available(docs, branches or config.branches(shape))
             if b.name != params["without"]]
@@ -153,7 +159,7 @@ def score(docs: DataFrame, params: dict | None = None, branches: Sequence | None
           ) -> Evaluation:
     """Train on one part of the labelled rows and evaluate on the rest."""
     spark, seconds = docs.sparkSession, [time.time()]
-    split = scale.stage(holdout(A.labelled(docs), test_size), "split")
+    split = scale.stage(holdout(identified(A.labelled(docs)), test_size), "split")
     seconds.append(time.time())
     training, held_out = split.filter("NOT is_test"), split.filter("is_test")
     model = train(training.drop("is_test"), params, branches)
@@ -188,7 +194,7 @@ def sweep_selection(docs: DataFrame, branches: Sequence, sizes: Sequence[int] =
     """``(k, score)``: out-of-bag score of the ensemble for each number of kept terms."""
     docs = A.labelled(docs)
     counts, idf = V.fit_idf(docs, branches)
-    scores = S.chi2_scores(weights(term_counts(counts), idf), docs)
+    scores = S.chi2_scores(scaled(counts, idf), idf, docs)
     classes = tuning.label_table(docs)
 
     def oob(best: DataFrame) -> float:

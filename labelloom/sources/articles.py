@@ -13,8 +13,8 @@ ARTICLE_COLUMNS = ("Id", "Title", "Abstract", "Text", "Keywords", "Terms", "Toke
 LABEL = "Category"
 TEXT_COLUMN = {"binary": "Abstract", "multi-class": "Text"}
 
-CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "multiLine": True, "sep": ",",
-               "encoding": "UTF-8", "enforceSchema": False}
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "sep": ",", "encoding": "UTF-8",
+               "enforceSchema": False}
 
 
 def article_schema(columns) -> ST.StructType:
@@ -29,21 +29,22 @@ def header(spark: SparkSession, path: str) -> list[str]:
     return first.columns
 
 
-def read_csv(spark: SparkSession, path: str, schema: ST.StructType | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: ST.StructType | None = None,
+             multi_line: bool = True) -> DataFrame:
     """Comma separated, header row, double quotes doubled inside quoted fields.
 
-    Quoted fields may hold line breaks, which stops Spark from splitting a file; convert large
-    inputs to Parquet once.
+    Quoted fields may hold line breaks, which stops Spark from splitting a file. Files that are known
+    to hold none are split with ``multi_line=False``.
     """
     schema = schema or article_schema(header(spark, path))
-    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+    return spark.read.options(**CSV_OPTIONS, multiLine=multi_line).schema(schema).csv(path)
 
 
 def read_articles(spark: SparkSession, path: str, fmt: str = "csv",
-                  schema: ST.StructType | None = None) -> DataFrame:
+                  schema: ST.StructType | None = None, multi_line: bool = True) -> DataFrame:
     """Articles from CSV or any columnar source Spark reads."""
     if fmt == "csv":
-        return scale.spread(read_csv(spark, path, schema), "Id")
+        return scale.spread(read_csv(spark, path, schema, multi_line), "Id")
     reader = spark.read.format(fmt)
     return scale.spread((reader.schema(schema) if schema else reader).load(path), "Id")
 
