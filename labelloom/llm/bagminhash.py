@@ -41,7 +41,7 @@ from labelloom.llm.inputs import pieces, text_or_empty
 WORD = re.compile(r"\w+")
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 5
-SMALL, BLOCK = 32, 1_000
+SMALL, BLOCK = 32, 256
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
