@@ -41,7 +41,12 @@ def brute_weights(rows):
 
 def fitted(docs, branches=(BRANCH,)):
     counts, idf = V.fit_idf(docs, branches)
-    return FT.weights(FT.term_counts(counts), idf), idf
+    return FT.weights(counts, idf), idf
+
+
+def scaled(docs):
+    counts, idf = V.fit_idf(docs, (BRANCH,))
+    return FT.scaled(counts, idf), idf
 
 
 def test_weights(docs):
@@ -58,8 +63,7 @@ def test_large_vocabulary_path(docs, monkeypatch):
     want = {(r["Id"], r["term"]): r["w"] for r in weighted.collect()}
     monkeypatch.setattr(scale, "BROADCAST_ROWS", 3)
     monkeypatch.setattr(FT, "HOT_TERMS", 20)
-    pairs = FT.term_counts(FT.doc_terms(docs, [BRANCH], ["Id", "Category"]))
-    split = FT.weights(pairs, idf)
+    split = FT.weights(FT.doc_terms(docs, [BRANCH], ["Id", "Category"]), idf)
     got = {(r["Id"], r["term"]): r["w"] for r in split.collect()}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
 
@@ -77,15 +81,13 @@ def brute_chi2(rows, weights):
 
 
 def test_chi2(docs):
-    weighted, _ = fitted(docs)
     rows = docs.collect()
     want = brute_chi2(rows, brute_weights(rows))
-    got = {r["term"]: r["score"] for r in S.chi2_scores(weighted, docs).collect()}
+    got = {r["term"]: r["score"] for r in S.chi2_scores(*scaled(docs), docs).collect()}
     assert got.keys() == want.keys() and all(abs(got[t] - want[t]) < 1e-9 for t in want)
 
 
 def test_mutual_information(docs):
-    weighted, _ = fitted(docs)
     rows = docs.collect()
     weights = brute_weights(rows)
     want = {}
@@ -97,7 +99,7 @@ def test_mutual_information(docs):
             y[b] += n
         want[term] = sum(n / len(rows) * math.log(n * len(rows) / (x[a] * y[b]))
                          for (a, b), n in joint.items())
-    got = {r["term"]: r["score"] for r in S.mutual_information(weighted, docs).collect()}
+    got = {r["term"]: r["score"] for r in S.mutual_information(*scaled(docs), docs).collect()}
     assert got.keys() == want.keys() and all(abs(got[t] - want[t]) < 1e-9 for t in want)
 
 

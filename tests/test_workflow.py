@@ -191,3 +191,38 @@ def test_stream(spark, docs, model, tmp_path):
                      prepare=lambda df: df.withColumnRenamed("n", "Id")).awaitTermination()
     got = spark.read.parquet(target).select("Id", "Category")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, model.predict(docs).collect()))
+
+
+def test_depths_beyond_the_deepest_are_refused():
+    with pytest.raises(ValueError, match="max_depth"):
+        C.extra_trees(5, 40)
+    assert C.extra_trees(5, None).getMaxDepth() == C.DEEPEST
+    assert W.parameters("binary")["max_depth"] == C.DEEPEST
+    assert TU.effective({"max_depth": [2, None, 30]}) == {"max_depth": [2, 30]}
+
+
+def test_default_branches_leave_out_stop_words():
+    from labelloom.functions import text as T
+    words = {b.name: set(b.stop_words) for b in config.branches("multi-class")}["text_words"]
+    assert words == set(T.default_stop_words()) and "the" in words
+
+
+def test_repeated_ids_keep_their_tokens(spark):
+    docs = spark.createDataFrame([(1, "car mice"), (1, "ran other")], "Id long, Text string")
+    known = spark.createDataFrame([("mice", ["mouse"]), ("ran", ["run"])], "token string, out array<string>")
+    rows = sorted(r["Tokens"] for r in W.preprocess(docs, ["the"], known).collect())
+    assert rows == ["car;mouse", "run;other"]
+    with pytest.raises(ValueError, match="unique"):
+        W.score(docs.withColumn("Category", F.lit("a")))
+
+
+def test_curve_in_the_row_equals_the_window_form(spark):
+    from pyspark.ml.feature import VectorAssembler
+    rows = [(i, float(i % 7), float(i % 3), float(i % 2)) for i in range(60)]
+    table = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(
+        spark.createDataFrame(rows, "Id long, a double, b double, label double")).select("Id", "label", "features")
+    trees = C.BaggedTrees(7, 3)
+    ensemble = trees.fit(table)
+    want = {r["n"]: r["oob_score"] for r in C.curve(trees.votes(ensemble, table), table, range(2, 8)).collect()}
+    got = {r["n"]: r["oob_score"] for r in trees.oob_curve(table, 2).collect()}
+    assert got.keys() == want.keys() and all(abs(got[n] - want[n]) < 1e-12 for n in want)
