@@ -20,6 +20,7 @@ broken by key and row number; an empty table gives no piece. Extra columns are i
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -43,9 +44,22 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+# Words of these letters lower-case one to one, need no other normalisation and are one unit of the vocabulary;
+# so are the marks after them.
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+
+
+def byte_letters() -> dict[int, str]:
+    """How a byte-level vocabulary writes bytes: visible Latin-1 characters as they are, the others in order
+    from code point 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in seen)}
+
+
 class Encoder:
     """Token ids of texts. The vocabulary's rules never join characters across a blank or a line break,
-    so the ids of a text are those of its blank-separated parts; common parts are encoded once."""
+    so the ids of a text are those of its blank-separated parts; common parts are encoded once. A plain word
+    goes to the tokenizer's merges directly, without the passes that would leave it as it is."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on every core already
@@ -53,16 +67,41 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.known: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+        self.letters = byte_letters()
+
+    def _written(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
+
+    def _slow(self, parts: list[str]) -> list[bytes]:
+        return [self._written(e.ids) for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+
+    def _plain(self, word: str, marks: str) -> bytes:
+        lower = word.lower()
+        ids = self.known.get(lower)
+        if ids is None:
+            units = lower if lower.isascii() else "".join(map(self.letters.__getitem__, lower.encode()))
+            ids = self.known[lower] = self._written([t.id for t in self.tokenizer.model.tokenize(units)])
+        if marks and marks not in self.marks:
+            self.marks[marks] = self._slow([marks])[0]
+        return ids + self.marks[marks] if marks else ids
+
+    def _learn(self, fresh: set[str]) -> None:
+        rest = []
+        for p in fresh:
+            if m := PLAIN.fullmatch(p):
+                self.known[p] = self._plain(m[1], m[2])
+            else:
+                rest.append(p)
+        self.known.update(zip(rest, self._slow(rest)))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         parts = [t.replace("\n", " ").split(" ") for t in texts]
         known = self.known
-        fresh = list({p for ps in parts for p in ps if p not in known})
-        if len(known) + len(fresh) > CACHE:
+        if len(known) > CACHE:
             known.clear()
-            fresh = list({p for ps in parts for p in ps})
-        for p, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-            known[p] = np.array(e.ids, self.kind).tobytes()
+            self.marks.clear()
+        self._learn({p for ps in parts for p in ps if p not in known})
         return [np.frombuffer(b"".join([known[p] for p in ps]), self.kind) for ps in parts]
 
 

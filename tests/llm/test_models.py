@@ -119,7 +119,7 @@ def test_cached_encoding_equals_the_tokenizer(spark):
     path = packing.tokenizer_path()
     plain, own = Tokenizer.from_file(path), packing.Encoder(path)
     texts = [r[0] for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").limit(80).collect()]
-    texts += ["", " ", "\n\n a b c \x1c\x1dd", "It's we'll 123 '' 've", "é ́x", "ΑΣ Σ", "a<|endoftext|>b", "\t x\r\n"]
+    texts += ["Straße, ÀÉÎõü! WORD.; a\u0301b é\u0301 ª º µm Œuvre ÿŸ x² don't ﬁn ..., !?", "", " ", "\n\n a b c \x1c\x1dd", "It's we'll 123 '' 've", "é ́x", "ΑΣ Σ", "a<|endoftext|>b", "\t x\r\n"]
     assert [i.tolist() for i in own.encode(texts)] == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
 
 
