@@ -9,8 +9,9 @@ piece. Characters outside the vocabulary are spelled by its byte pieces.
 
 Words are runs of characters other than blank, tab and line ends, A-Z lower-cased. Counts of all distinct
 words are gathered from all documents (they grow with the corpus) and stay a table: each distinct word is
-segmented once. The ``FREQUENT`` most frequent words go to every task (a fixed bound); the rest of a
-document's words join the table by shuffle, where no word is frequent any more.
+segmented once. Words that make up at least 1/``FREQUENT`` of all tokens go to every task (so there can be
+``FREQUENT`` of them at most); the rest of a document's words join the table by shuffle, where no word is
+frequent any more.
 
 Defined cases: null and empty texts are the end piece alone; a null id is neither held out nor learned from;
 repeated rows count and appear repeatedly; with no training text every piece weighs the same and counts are
@@ -32,7 +33,7 @@ from labelloom import scale
 from labelloom.llm.inputs import crc_mod, pieces
 
 VOCABULARY = "piece_bpe_32k.model"
-FREQUENT = 1 << 17
+FREQUENT = 1 << 19
 ROUNDS = 1
 START = "▁"  # opens a word in the vocabulary
 FLUSH = 400_000
@@ -274,8 +275,8 @@ def score(docs: DataFrame, path: str | None = None, doc_id: str = "doc_id", text
     end_base, end_score = math.log10(ends + 0.5) - bottom, float(weights[loaded(path).end])
 
     every = F.col("c") + F.col("other")
-    usual = counts.orderBy(every.desc(), "word").limit(FREQUENT)
-    usual = [(bytes(r["word"]), r["c"]) for r in usual.collect()]
+    share = counts.agg(F.coalesce(F.sum(every), F.lit(0))).first()[0] / FREQUENT
+    usual = [(bytes(r["word"]), r["c"]) for r in counts.filter(every >= share).select("word", "c").collect()]
     rank = {w: i for i, (w, _) in enumerate(usual)}
     lattice = Lattice(path, weights)
     known = np.array([c > 0 for _, c in usual] or [False])
