@@ -16,7 +16,8 @@ HEADLINE = ("tokenise", "preprocess", "word_ngrams", "dictionary_tokens", "side_
             "relevance_lookup", "document_frequency", "tfidf_words", "char_ngrams",
             "feature_union", "select_k_best", "mutual_information", "apply_fitted_features",
             "stratified_holdout", "stratified_folds", "evaluation_report", "roc_auc",
-            "categorise_held_out", "train_and_predict")
+            "categorise_held_out", "train_and_predict", "oob_curve", "boosted_trees", "random_threshold_trees",
+            "grid_search", "sweep_selected_terms", "enrich_articles")
 
 
 def main() -> None:

@@ -602,6 +602,24 @@ def _(spark, folder):
         F.round(F.sum("w"), 6).alias("w"), F.round(F.max("w"), 6).alias("top"))
 
 
+DEFAULT_SQL = " UNION ALL ".join([
+    branch_sql("tokens", TOKENS_SQL, 1, 3), branch_sql("text_words", words_sql("text"), 1, 2),
+    f"SELECT doc_id AS Id, 'text_chars' AS branch, term FROM ({char_grams_sql(3, 7)})"])
+
+
+@query("default_branches", f"""
+WITH {tfidf_sql(DEFAULT_SQL)}
+SELECT Id, branch, CAST(count(*) AS BIGINT) AS n_terms, CAST(sum(tf) AS BIGINT) AS total_tf,
+       round(sum(w), 6) AS w, round(max(w), 6) AS top FROM weighted GROUP BY ALL""")
+def _(spark, folder):
+    """The union of a shape's own branches, with their full n-gram ranges."""
+    from labelloom.plans import config
+    weighted, _ = weighted_of(tokens_docs(spark, folder), *config.branches("multi-class", stop_words=STOP))
+    return weighted.groupBy("Id", "branch").agg(
+        F.count(F.lit(1)).alias("n_terms"), F.sum("tf").alias("total_tf"),
+        F.round(F.sum("w"), 6).alias("w"), F.round(F.max("w"), 6).alias("top"))
+
+
 OPTIONAL_SQL = " UNION ALL ".join([
     branch_sql("title_words", words_sql("Title"), 1, 3, f"({BINARY_SQL})", "Id"),
     branch_sql("abstract_words", words_sql("Abstract"), 1, 3, f"({BINARY_SQL})", "Id"),
