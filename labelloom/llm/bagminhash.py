@@ -13,8 +13,8 @@ Signatures are cut into bands; texts that share a band are candidates. In each b
 compared with its smallest key first. A bucket whose texts then lie in one component is done. In another
 one, texts of different components are compared: as pairs where the bucket holds at most ``SMALL`` texts;
 else in blocks of at most about ``BLOCK`` texts outside the largest component against as many of all, inside
-tasks that return one link per text and component that it meets. So no bucket is multiplied out and none
-is cut. Every link is verified on the exact multisets: overlap / union >= 0.8.
+tasks that return only the links that join components (fewer than there are components in the task). So no
+bucket is multiplied out and none is cut. Every link is verified on the exact multisets: overlap / union >= 0.8.
 
 Equal texts are one text throughout (by the MD5 of the text), so copies cost nothing. Texts of fewer than
 five words are one shingle of all their words; texts without a word are linked to equal texts only. A null
@@ -221,7 +221,7 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def _block_rows(_key, members: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-    """Links between two blocks of a bucket: the smallest key per asked text and other component."""
+    """Links between two blocks of a bucket, as many as join what the blocks' links join."""
     out: list[tuple[str, str]] = []
     if len(members) and len(asked):
         members = members.sort_values("key", ignore_index=True)
@@ -230,14 +230,22 @@ def _block_rows(_key, members: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFram
         order = np.argsort(flat, kind="stable")
         flat, owner = flat[order], np.repeat(np.arange(len(members)), sizes)[order]
         keys, components_ = members["key"].to_numpy(), members["component"].to_numpy()
+        joined: dict[str, str] = {}
+
+        def head(c: str) -> str:
+            while c in joined:
+                c = joined[c]
+            return c
+
         for key, component, own in zip(asked["asked"], asked["other"], asked["own"]):
             low, high = np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")
             both = np.bincount(np.concatenate([owner[i:j] for i, j in zip(low, high)]), minlength=len(members))
             near = both / (sizes + len(own) - both) >= SIMILARITY
-            met = {}
             for i in np.flatnonzero(near & (components_ != component)):
-                met.setdefault(components_[i], keys[i])
-            out += [(max(key, k), min(key, k)) for k in met.values()]
+                one, other = sorted((head(component), head(components_[i])))
+                if one != other:
+                    joined[other] = one
+                    out.append((max(key, keys[i]), min(key, keys[i])))
     return pd.DataFrame(out, columns=["a", "b"], dtype=object)
 
 
