@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -71,7 +72,7 @@ class Encoder:
         self.letters = byte_letters()
 
     def _written(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.kind).tobytes()
+        return struct.pack(f"<{len(ids)}{'H' if self.kind == '<u2' else 'I'}", *ids)
 
     def _slow(self, parts: list[str]) -> list[bytes]:
         return [self._written(e.ids) for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
