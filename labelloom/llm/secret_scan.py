@@ -3,8 +3,8 @@
 Every text is scanned for three kinds of secrets. Then a worklist unwraps it: runs of ``%XX`` (URL),
 runs with ``\\uXXXX`` or ``\\xXX`` escapes (Unicode), base64 (standard or URL alphabet, also wrapped in
 lines) and, after base64, zlib, gzip, bzip2, xz or zstd data. Each decoded layer is scanned and unwrapped
-again until no layer gives a new one; a layer that was seen in this document before is not unwrapped
-again, so cycles end. Every finding is mapped back to code points of the original text: escapes map
+again until no layer gives a new one; a layer whose text was seen before at the same place of this document
+is not unwrapped again, so cycles end and copies at other places are found. Every finding is mapped back to code points of the original text: escapes map
 character by character, base64 and compressed data map to the whole encoded run.
 
 A decoded layer counts only when it is valid UTF-8 without control characters. Decompression streams
@@ -206,7 +206,9 @@ def _unwrap(text: str, origin) -> Iterator[Layer | None]:
 def scan(text: str) -> tuple[list, list, int, int]:
     """(base spans, all spans, number of decoded layers, number of oversized layers)."""
     base = base_spans(text)
-    every, seen, layers, large = set(base), {text}, 0, 0
+    every, layers, large = set(base), 0, 0
+    # A layer's text and place. Spans are in order, so equal ends mean that all characters have one span.
+    seen: set[tuple] = set()
     work: list[tuple[str, object]] = [(text, lambda a, b: (a, b))]
     while work:
         current, origin = work.pop()
@@ -218,8 +220,9 @@ def scan(text: str) -> tuple[list, list, int, int]:
             layers += 1
             for start, end, kind in base_spans(decoded):
                 every.add((spans[start][0], spans[end - 1][1], kind))
-            if decoded not in seen:
-                seen.add(decoded)
+            key = decoded, spans[0] if spans[0] == spans[-1] else tuple(spans)
+            if key not in seen:
+                seen.add(key)
                 work.append((decoded, lambda a, b, s=spans: (s[a][0], s[b - 1][1])))
     return base, ordered(every), layers, large
 

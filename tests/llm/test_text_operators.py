@@ -74,6 +74,21 @@ def test_escapes_map_character_by_character_and_cycles_end():
     assert secret_scan.hide(f"a {KEY} b") == "a [SECRET] b"
 
 
+@pytest.mark.parametrize("wrap", [
+    lambda s: base64.b64encode(base64.b64encode(s.encode())).decode(),
+    lambda s: base64.b64encode(urllib.parse.quote(s).replace("A", "%41").encode()).decode(),
+    lambda s: base64.b64encode(s.encode()).decode().replace("Q", "%51"),
+])
+@pytest.mark.parametrize("between", [" and again ", ",\n"])
+def test_copies_of_a_nested_run_are_found_at_each_place(wrap, between):
+    run = wrap(f"see {KEY} there, it is the key")
+    text = f"{run}{between}{run}"
+    starts = {s for s, _, k in secret_scan.scan(text)[1] if k == "access"}
+    assert any(s < len(run) for s in starts) and any(s >= len(run) + len(between) for s in starts)
+    hidden = secret_scan.hide(text)
+    assert hidden.count("[SECRET]") == 2 and run not in hidden
+
+
 def test_scan_rows_and_redaction(spark):
     texts = [None, "", f"token = '{'0123456789abcdef' * 2}'", "clean text", KEY, KEY]
     docs = docs_of(spark, texts)
