@@ -6,15 +6,17 @@
    centres. A cell with more than ``CELL`` vertices is cut into blocks by a hash of the vertex.
 3. In each cell block a graph is built: each vertex's nearest vertices of the block, pruned robustly (a
    neighbour is dropped when a closer one lies ``ALPHA`` times nearer to it), at most ``DEGREE`` links.
-   The lists that a vertex has in several cells are united.
+   Each link gets its reverse; a vertex with more than twice ``DEGREE`` is pruned again. The lists that a
+   vertex has in several cells are united.
 4. Every vertex is searched in all blocks of its nearest cell, over the united lists: greedily with a beam
    from the block's medoids (vertices such that each other one has a cosine of ``COVER`` to one of them),
    and from there in range: every vertex found near the threshold is expanded. What is found is verified by
    the cosine in double precision.
 5. Recall is audited: vertices whose id is divisible by 50 are compared with all vectors, in blocks.
 
-A link is counted where it is found from either end's own cell; links between copies count each copy. A
-search task returns, for each vertex, the number of links and the smallest vertex that it reaches through
+A link counts for both ends. A vertex counts what its own search finds. Where a vertex is not in a cell to
+which the found one is at home, the found one cannot find it and counts it then and there; two vertices at
+home in one block count each other when either finds the other. Links between copies count each copy. A search task returns, for each vertex, the number of links and the smallest vertex that it reaches through
 links of the task, so no group of near copies is written as pairs.
 
 Defined cases: vectors that are null, empty, zero, of another length than the most common one, or hold a
@@ -94,8 +96,8 @@ def _assign(centres: np.ndarray):
     return run
 
 
-def robust_prune(points: np.ndarray, near: np.ndarray, sims: np.ndarray) -> np.ndarray:
-    """Per point at most ``DEGREE`` of its candidates (nearest first), -1 where there is none.
+def robust_prune(points: np.ndarray, near: np.ndarray, sims: np.ndarray, degree: int = DEGREE) -> np.ndarray:
+    """Per point at most ``degree`` of its candidates (nearest first), -1 where there is none.
 
     A candidate goes when a chosen one is ``ALPHA`` times closer to it than the point is.
     """
@@ -103,9 +105,9 @@ def robust_prune(points: np.ndarray, near: np.ndarray, sims: np.ndarray) -> np.n
     among = np.einsum("ncd,ned->nce", points[near], points[near])
     far = np.sqrt(np.maximum(2 - 2 * sims, 0))
     apart = np.sqrt(np.maximum(2 - 2 * among, 0))
-    open_, chosen = sims > -2, np.full((n, DEGREE), -1, np.int64)
+    open_, chosen = sims > -2, np.full((n, degree), -1, np.int64)
     rows = np.arange(n)
-    for slot in range(min(DEGREE, c)):
+    for slot in range(min(degree, c)):
         pick = open_.argmax(1)
         any_ = open_[rows, pick]
         chosen[any_, slot] = near[rows, pick][any_]
@@ -135,6 +137,22 @@ def build(points: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
+def both_ways(points: np.ndarray, links: np.ndarray) -> list[np.ndarray]:
+    """The links of a block with their reverses, pruned again where there are more than twice ``DEGREE``."""
+    who, slot = np.nonzero(links >= 0)
+    what = links[who, slot]
+    pairs = np.unique(np.concatenate([who * len(points) + what, what * len(points) + who]))
+    who, what = pairs // len(points), pairs % len(points)
+    out = np.split(what, np.searchsorted(who, np.arange(1, len(points))))
+    for i, own in enumerate(out):
+        if len(own) > 2 * DEGREE:
+            sims = points[own] @ points[i]
+            order = np.argsort(-sims, kind="stable")
+            kept = robust_prune(points, own[order][None], sims[order][None], 2 * DEGREE)[0]
+            out[i] = kept[kept >= 0]
+    return out
+
+
 def medoids(points: np.ndarray) -> np.ndarray:
     """Vertices such that every vertex is close to one of them."""
     near, open_, out = points @ points.T >= COVER, np.ones(len(points), bool), []
@@ -172,9 +190,9 @@ def search(points: np.ndarray, links: list[np.ndarray], queries: np.ndarray) ->
 
 def _build_rows(frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame.sort_values("vertex", ignore_index=True)
-    links = build(matrix(frame["unit"]))
+    points = matrix(frame["unit"])
     ids = frame["vertex"].to_numpy()
-    return pd.DataFrame({"vertex": ids, "near": [ids[row[row >= 0]] for row in links]})
+    return pd.DataFrame({"vertex": ids, "near": [ids[row] for row in both_ways(points, build(points))]})
 
 
 def _search_rows(key, points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
@@ -191,8 +209,15 @@ def _search_rows(key, points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFra
     good = np.einsum("ij,ij->i", sought[who], units[what]) >= THRESHOLD
     hit[:] = False
     hit[who[good], what[good]] = True
+    at = np.array([place.get(v, -1) for v in asked])
+    if (at >= 0).all():  # the asked are points of this block: a link found from one end holds for both
+        hit[:, at] |= hit[:, at].T
     other = hit & (ids[None, :] != asked[:, None])
     count = other.astype(np.int64) @ points["n"].to_numpy(np.int64)
+    # A point at home in a cell that the asked vertex is not in cannot find it and counts it here.
+    who, what = np.nonzero(other)
+    unseen = (np.stack(queries["cells"].to_numpy())[who] != points["base"].to_numpy()[what, None]).all(1)
+    back = np.bincount(what[unseen], queries["copies"].to_numpy()[who[unseen]], len(ids)).astype(np.int64)
     # The smallest vertex reachable through the links of this task, for both sides.
     hit = other | (ids[None, :] == asked[:, None])
     low_q, low_p, big = asked.astype(np.int64), ids.astype(np.int64), np.iinfo(np.int64).max
@@ -202,9 +227,9 @@ def _search_rows(key, points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFra
         if (new_q == low_q).all() and (new_p == low_p).all():
             break
         low_q, low_p = new_q, new_p
-    some, moved = (count > 0) | (low_q != asked), low_p != ids
+    some, moved = (count > 0) | (low_q != asked), (back > 0) | (low_p != ids)
     return pd.DataFrame({"vertex": np.concatenate([asked[some], ids[moved]]),
-                         "links": np.concatenate([count[some], np.zeros(moved.sum(), np.int64)]),
+                         "links": np.concatenate([count[some], back[moved]]),
                          "low": np.concatenate([low_q[some], low_p[moved]])})
 
 
@@ -212,18 +237,20 @@ def graph_search(vertices: DataFrame, n: int) -> DataFrame:
     """``(vertex, links, low)``: links found, counting copies, and the smallest vertex linked with."""
     blocks = scale.stage(vertices.mapInPandas(
         _assign(_centres(vertices, n)), "vertex bigint, n bigint, unit binary, cells array<bigint>"), "cells")
-    placed = blocks.select("vertex", "n", "unit", F.posexplode("cells").alias("rank", "cell"))
+    placed = blocks.select("vertex", "n", "unit", "cells", F.posexplode("cells").alias("rank", "cell"))
     sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("size"))
     cut = scale.pin(sizes.select("cell", F.ceil(F.col("size") / CELL).cast("bigint").alias("cuts")), MAX_CENTRES)
     placed = placed.join(F.broadcast(cut), "cell").withColumn("block", F.pmod(F.xxhash64("vertex"), F.col("cuts")))
-    lists = placed.groupBy("cell", "block").applyInPandas(_build_rows, "vertex bigint, near array<bigint>")
+    lists = placed.select("cell", "block", "vertex", "unit").groupBy("cell", "block").applyInPandas(_build_rows, "vertex bigint, near array<bigint>")
     united = scale.stage(lists.groupBy("vertex").agg(
         F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "graph")
-    points = placed.join(united, "vertex").select("cell", "block", "vertex", "n", "unit", "near")
+    points = placed.join(united, "vertex").select(
+        "cell", "block", "vertex", "n", "unit", F.col("cells")[0].alias("base"), "near")
     # The home vertices of a cell, in blocks too, meet each of its blocks.
     homes = placed.filter("rank = 0").select(
         F.col("cell").alias("home"), F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("at"),
-        F.col("block").alias("own"), F.col("vertex").alias("asked"), F.col("unit").alias("sought"))
+        F.col("block").alias("own"), F.col("vertex").alias("asked"), F.col("n").alias("copies"), "cells",
+        F.col("unit").alias("sought"))
     parts = cut.select("cell", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("part"))
     points = points.join(F.broadcast(parts), "cell")
     found = points.groupBy("cell", "block", "part").cogroup(homes.groupBy("home", "at", "own")).applyInPandas(
@@ -253,10 +280,11 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     groups = components(found.select(F.col("vertex").alias("a"), F.explode("lows").alias("b")))
     about = (vertices.join(found.select("vertex", "links"), "vertex", "left").join(groups, "vertex", "left")
              .select("unit", "low_id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-                     F.coalesce("component", "vertex").alias("component")))
+                     F.coalesce("component", "vertex").alias("component"),
+                     F.col("component").isNotNull().alias("linked")))
     about = scale.stage(about, "about")
     ids = about.groupBy("component").agg(F.min("low_id").alias("component_id"))
-    known = about.filter("n_links > 0").join(ids, "component").select("unit", "n_links", "component_id")
+    known = about.filter("n_links > 0 or linked").join(ids, "component").select("unit", "n_links", "component_id")
     component = F.coalesce("component_id", "vec_id")
     return units.join(known, "unit", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),

@@ -115,6 +115,31 @@ def test_vectors_equal_brute_force(spark):
     assert flat_graph.near_duplicates(table.limit(0)).count() == 0
 
 
+def test_a_link_counts_for_both_ends():
+    """Vertex 1 asks in its cell 0. Point 2 is at home in cell 5, where 1 is not; point 3 in cell 7, where 1 is."""
+    import pandas as pd
+    unit = np.array([1.0, 0.0]).tobytes()
+    points = pd.DataFrame({"vertex": [1, 2, 3], "n": [4, 1, 1], "unit": [unit] * 3, "base": [0, 5, 7], "near": [[2, 3], [1], [1]]})
+    asked = pd.DataFrame({"asked": [1], "copies": [4], "sought": [unit], "cells": [np.array([0, 7])]})
+    found = flat_graph._search_rows(None, points, asked).set_index("vertex")
+    assert found["links"].to_dict() == {1: 2, 2: 4, 3: 0} and (found["low"] == 1).all()
+
+
+def test_counts_and_components_with_many_cells(spark, monkeypatch):
+    monkeypatch.setattr(flat_graph, "CELL", 20)  # about 120 cells
+    rng = np.random.default_rng(11)
+    rows = np.repeat(rng.normal(size=(60, 8)), 20, 0) + rng.normal(size=(1200, 8)) * 0.28
+    unit = rows / np.linalg.norm(rows, axis=1)[:, None]
+    hits = unit @ unit.T >= 0.95
+    np.fill_diagonal(hits, False)
+    table = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "vec_id bigint, embedding array<double>")
+    found = {r["vec_id"]: r for r in flat_graph.near_duplicates(table).collect()}
+    links, want = np.array([found[i]["n_links"] for i in range(1200)]), hits.sum(1)
+    assert (links <= want).all()
+    assert links.sum() >= 0.955 * want.sum()
+    assert all((found[i]["n_links"] > 0) or found[i]["component_id"] == i for i in range(1200))
+
+
 def test_robust_prune_keeps_diverse_neighbours():
     points = np.array([[1, 0], [0.999, 0.02], [0.998, 0.03], [0, 1]], float)
     points /= np.linalg.norm(points, axis=1)[:, None]
