@@ -10,11 +10,15 @@
 3. In the finished wrapper, a node whose text is the same on several pages is template; one whose text
    varies is a slot. The content region is the marked article where the layout has one, else the body. In
    it, slots are content unless their kind (navigation, header, footer, aside, form, script, advert, notice,
-   reader comments, ...) says otherwise or most of their text is links on pages that repeat them.
-4. Every page is aligned with its host's wrapper and the text of its content nodes is written out.
+   reader comments, ...) says otherwise or most of their text is links on pages that repeat them. In a marked
+   article, a node that is constant with all nodes below it is a box of the layout and goes: it must be on at
+   least half of the pages that have its parent and on ``TEMPLATE_PAGES`` pages of different text. A title (h1)
+   stays, inline nodes of a running text stay, and so does all of an article that is the same on every page.
+4. Every page is aligned with its host's wrapper by the same matching and the text of its content nodes is
+   written out.
 
 Inside a content slot everything is content, also a passage that many pages share: sameness is judged by
-node, not by sentence.
+node, not by sentence. Neighbours of one kind are one node, so a constant paragraph among others stays.
 
 Defined cases: a null or empty page has an empty text; a null url is a host of its own; a host with a single
 page has no template, only kinds; unclosed and crossing tags close as browsers do; text outside any element
@@ -63,6 +67,8 @@ ATTRIBUTE = re.compile(r"""([A-Za-z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|
 DIGITS = re.compile(r"\d+")
 #: A node that repeats a text on so many pages is template.
 TEMPLATE_PAGES = 3
+#: Blocks of running text: inline nodes are part of it.
+RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 li td th dt dd blockquote pre figcaption caption".split())
 
 
 class Node:
@@ -153,27 +159,42 @@ def dropped(kind: tuple) -> bool:
 
 
 # A wrapper node: [kind, pages, text length, length of text in links, hash of its text or None if it varies,
-# children]. Text that a node holds itself counts as its own; a layout is the tree of such nodes.
-KIND, PAGES, LENGTH, LINKED, SAME, CHILDREN = range(6)
+# children, hashes of the texts of up to TEMPLATE_PAGES different pages that have it]. Text that a node holds
+# itself counts as its own; a layout is the tree of such nodes.
+KIND, PAGES, LENGTH, LINKED, SAME, CHILDREN, TEXTS = range(7)
 
 
-def layout(node: Node) -> list:
-    """The wrapper of a single page. Nodes of a dropped kind are leaves."""
-    own, children, linked, length = [], [], 0, 0
+def _strings(node: Node) -> Iterator[str]:
+    for child in node.children:
+        if isinstance(child, str):
+            yield child.strip()
+        else:
+            yield from _strings(child)
+
+
+def layout(node: Node, groups: dict | None = None, mark: str | None = None) -> list:
+    """The wrapper of a single page. Nodes of a dropped kind are leaves. ``groups`` takes, for each node, its
+    wrapper's children and the nodes that each of them stands for; ``mark`` is the hash of the page's text."""
+    mark = hash_text(list(_strings(node))) if mark is None else mark
+    own, children, members, linked, length = [], [], [], 0, 0
     for child in node.children:
         if isinstance(child, str):
             piece = child.strip()
             own.append(piece)
             length += len(piece)
             continue
-        made = layout(child)
+        made = layout(child, groups, mark)
         length += made[LENGTH]
         linked += made[LENGTH] if child.kind[0] == "a" else made[LINKED]
         if children and children[-1][KIND] == made[KIND]:
             children[-1] = merge(children[-1], made, siblings=True)
+            members[-1].append(child)
         else:
             children.append(made)
-    out = [node.kind, 1, length, linked, hash_text(own), children]
+            members.append([child])
+    out = [node.kind, 1, length, linked, hash_text(own), children, [mark]]
+    if groups is not None:
+        groups[id(node)] = children, members
     if dropped(node.kind):
         out[CHILDREN] = []
     return out
@@ -186,9 +207,15 @@ def hash_text(own: list[str]) -> str:
 
 def matching(left: list, right: list) -> list[tuple[int, int]]:
     """Simple tree matching of two lists of children: the order-keeping pairs of equal kinds with the largest
-    number of matched nodes below them."""
-    if [c[KIND] for c in left] == [c[KIND] for c in right]:
+    number of matched nodes at and below them."""
+    kinds = [c[KIND] for c in left]
+    if kinds == [c[KIND] for c in right] and len(set(kinds)) == len(kinds):
         return [(i, i) for i in range(len(left))]
+    return _weighed(left, right)[1]
+
+
+def _weighed(left: list, right: list) -> tuple[int, list[tuple[int, int]]]:
+    """The number of matched nodes of all levels, and the pairs of this one."""
     n, m = len(left), len(right)
     best = [[0] * (m + 1) for _ in range(n + 1)]
     weight = {}
@@ -196,7 +223,7 @@ def matching(left: list, right: list) -> list[tuple[int, int]]:
         for j in range(m):
             here = 0
             if left[i][KIND] == right[j][KIND]:
-                here = weight[i, j] = 1 + sum(1 for _ in matching(left[i][CHILDREN], right[j][CHILDREN]))
+                here = weight[i, j] = 1 + _weighed(left[i][CHILDREN], right[j][CHILDREN])[0]
             best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + here)
     pairs, i, j = [], n, m
     while i and j:
@@ -207,7 +234,7 @@ def matching(left: list, right: list) -> list[tuple[int, int]]:
             i -= 1
         else:
             j -= 1
-    return pairs[::-1]
+    return best[n][m], pairs[::-1]
 
 
 def merge(left: list, right: list, siblings: bool = False) -> list:
@@ -222,7 +249,8 @@ def merge(left: list, right: list, siblings: bool = False) -> list:
         i, j = a + 1, b + 1
     same = left[SAME] if left[SAME] == right[SAME] else None
     pages = left[PAGES] if siblings else left[PAGES] + right[PAGES]
-    return [left[KIND], pages, left[LENGTH] + right[LENGTH], left[LINKED] + right[LINKED], same, _folded(children)]
+    return [left[KIND], pages, left[LENGTH] + right[LENGTH], left[LINKED] + right[LINKED], same, _folded(children),
+            sorted({*left[TEXTS], *right[TEXTS]})[:TEMPLATE_PAGES]]
 
 
 def _folded(children: list) -> list:
@@ -254,6 +282,19 @@ def is_template(node: list) -> bool:
     return node[PAGES] >= TEMPLATE_PAGES and node[SAME] is not None and not node[CHILDREN]
 
 
+def is_constant(node: list) -> bool:
+    """The same text on all pages that have it, also in the nodes below."""
+    return node[SAME] is not None and all(map(is_constant, node[CHILDREN]))
+
+
+def is_box(node: list, parent: list) -> bool:
+    """In a marked article: a constant part of the layout."""
+    tag = node[KIND][0]
+    if tag == "h1" or (tag not in BLOCK and (parent[SAME] is None or parent[KIND][0] in RUNNING)):
+        return False
+    return len(node[TEXTS]) >= TEMPLATE_PAGES and 2 * node[PAGES] >= parent[PAGES] and is_constant(node)
+
+
 def is_link_list(node: list) -> bool:
     return node[LENGTH] > 0 and node[LINKED] > 0.8 * node[LENGTH] and node[KIND][0] in ("ul", "ol", "div", "p", "table", "section")
 
@@ -279,14 +320,22 @@ def _articles(node: Node) -> list[Node]:
 def extract(page: str, wrapper: list | None) -> str:
     """The text of a page's content nodes, given its host's wrapper."""
     root = parse(page)
+    groups: dict[int, tuple] = {}
+    if wrapper is not None:
+        layout(root, groups)
     regions = _articles(root)
     inner = [a for r in regions if r.kind[0] == "main" or r.kind[2] == "main" for a in _articles(r)]
     chosen = {id(n) for n in (inner or regions)}
     blocks: list[list[str]] = [[]]
 
-    def walk(node: Node, slot: list | None, inside: bool) -> None:
+    def walk(node: Node, slot: list | None, inside: bool, varies: bool = False) -> None:
         inside = inside or not chosen or id(node) in chosen
-        at = 0
+        if slot is not None and id(node) in chosen:
+            varies = not is_constant(slot)
+        slots = {}
+        if slot is not None:
+            children, members = groups[id(node)]
+            slots = {id(c): slot[CHILDREN][b] for a, b in matching(children, slot[CHILDREN]) for c in members[a]}
         for child in node.children:
             if isinstance(child, str):
                 if inside:
@@ -296,20 +345,16 @@ def extract(page: str, wrapper: list | None) -> str:
                 if child.kind[0] in BLOCK:
                     blocks.append([])
                 continue
-            mine = None
-            if slot is not None:
-                # Children come in the wrapper's order; a repeated one stays at its node.
-                for k in range(at, len(slot[CHILDREN])):
-                    if slot[CHILDREN][k][KIND] == child.kind:
-                        mine, at = slot[CHILDREN][k], k
-                        break
-            # Without a marked article, template nodes and lists of links are left out.
-            if not chosen and mine is not None and (is_template(mine) or is_link_list(mine)):
-                continue
+            mine = slots.get(id(child))
             breaks = child.kind[0] in BLOCK
+            # Template nodes are left out; without a marked article, lists of links too.
+            if mine is not None and (varies and is_box(mine, slot) if chosen else is_template(mine) or is_link_list(mine)):
+                if breaks:
+                    blocks.append([])
+                continue
             if breaks:
                 blocks.append([])
-            walk(child, mine, inside)
+            walk(child, mine, inside, varies)
             if breaks:
                 blocks.append([])
 

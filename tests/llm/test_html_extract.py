@@ -63,6 +63,28 @@ def test_template_nodes_go_without_a_marked_article(spark):
     assert H.main_text(table.limit(0)).count() == 0
 
 
+def test_constant_boxes_in_a_marked_article_go(spark):
+    """Neutral names; an inline word of a running text, a rare node of copies and a host of copies stay."""
+    body = ("<article><h1>Same title</h1><p>Story {0} <b>Note</b> on {0}<br>{0}</p><div class='k'>Join <b>our</b> list<p>Now</p></div>"
+            "<p>Second {0}</p><span class='z'>By us</span>{1}</article>")
+    quote = "<blockquote>Quoted once</blockquote>"
+    rows = [(i, f"http://host/{i}", page(body.format(f"no{i}", ""))) for i in range(6)]
+    rows += [(i, "http://host/copy", page(body.format("copy", quote))) for i in range(6, 16)]
+    rows += [(i, f"http://copies/{i}", page(body.format("all", quote))) for i in range(20, 25)]
+    found = {r["page_id"]: r["text"] for r in H.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert found[3] == "Same title Story no3 Note on no3 no3 Second no3"
+    assert found[9] == "Same title Story copy Note on copy copy Second copy Quoted once"
+    assert found[21] == "Same title Story all Note on all all Join our list Now Second all By us Quoted once"
+
+
+def test_matching_weighs_all_levels():
+    def node(kind, *children):
+        return [(kind, "", ""), 1, 0, 0, "h", list(children), ["t"]]
+    deep = node("a", node("b", node("c"), node("d"), node("e")))
+    flat = node("a", node("b"))
+    assert H.matching([flat, node("x"), deep], [deep]) == [(2, 0)] and H.matching([deep, node("x"), flat], [deep]) == [(0, 0)]
+
+
 @pytest.mark.parametrize("markup, text", [
     ("<article><header><h1>T</h1></header><p>a<br>b</p><aside>x</aside><ul><li>1<li>2</ul></article>", "T a b 1 2"),
     ("<main><article>one</article><div class='comments'>no</div></main><footer>f</footer>", "one"),
