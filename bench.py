@@ -16,8 +16,8 @@ HEADLINE = ("tokenise", "preprocess", "word_ngrams", "dictionary_tokens", "side_
             "relevance_lookup", "document_frequency", "tfidf_words", "char_ngrams",
             "feature_union", "select_k_best", "mutual_information", "apply_fitted_features",
             "stratified_holdout", "stratified_folds", "evaluation_report", "roc_auc",
-            "categorise_held_out", "train_and_predict", "oob_curve", "boosted_trees", "random_threshold_trees",
-            "grid_search", "sweep_selected_terms", "enrich_articles")
+            "categorise_held_out", "train_and_predict_whole_text", "oob_curve_whole_text", "boosted_trees",
+            "random_threshold_trees", "grid_search_whole_text", "sweep_selected_terms_whole_text", "enrich_articles")
 
 
 def main() -> None:

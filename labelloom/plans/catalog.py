@@ -1220,3 +1220,66 @@ def _(spark, folder):
 @query("evolutionary_search", f"WITH {SEARCH_SQL}")
 def _(spark, folder):
     return _search(spark, folder, "evolutionary", population=6, generations=1)
+
+
+# --- models on whole texts (no SQL form) ----------------------------------------------------------------------
+#
+# The planted twins above fit three terms a document. These run the same steps on all words (or character
+# trigrams) of the texts; tests hold them on the smallest tables.
+
+SMALL = {"score": "chi2", "k": 200, "n_estimators": 30, "max_depth": 6}
+
+
+@query("train_and_predict_whole_text")
+def _(spark, folder):
+    """Random forest trained on the documents with a quality label, applied to all documents."""
+    docs = documents(spark, folder).select(F.col("doc_id").alias("Id"), F.col("text").alias("Text"))
+    side = labels(spark, folder).select(F.col("doc_id").alias("Id"), F.col("quality").cast("string").alias("Category"))
+    model = W.train(A.join_side_table(docs, side), {**SMALL, "classifier": "random_forest"}, [CHARS])
+    return W.predict(model, docs)
+
+
+def text_vectors(spark, folder, k: int = 100) -> DataFrame:
+    docs = multiclass(spark, folder)
+    fitted = V.fit_features(docs, [WORDS1], k)
+    return scale.stage(TU.with_label(fitted.transform(docs), TU.label_table(docs)).select(
+        "Id", "Category", "label", "features"), "vectors")
+
+
+@query("oob_curve_whole_text")
+def _(spark, folder):
+    return C.BaggedTrees(8, 5).oob_curve(text_vectors(spark, folder), 3)
+
+
+@query("oob_curve_csv_whole_text")
+def _(spark, folder):
+    path = f"{scale.shared_folder(spark)}/labelloom/csv-{uuid.uuid4().hex}"
+    K.write_oob_curve(C.BaggedTrees(8, 5).oob_curve(text_vectors(spark, folder), 3), path)
+    return spark.read.schema("n int, oob_score double").csv(path, header=True)
+
+
+@query("sweep_selected_terms_whole_text")
+def _(spark, folder):
+    return W.sweep_selection(multiclass(spark, folder), [WORDS1], (1, 50, 200), 4, 4)
+
+
+def _text_search(spark, folder, method: str, space: dict, **settings) -> DataFrame:
+    found = W.tune(multiclass(spark, folder), method, "f1_macro", [WORDS1], space=space,
+                   settings={"folds": 2, **settings})[1]
+    return found.table.withColumn("params", F.to_json("params"))
+
+
+@query("grid_search_whole_text")
+def _(spark, folder):
+    return _text_search(spark, folder, "grid", {"k": [100], "max_depth": [2, 5], "n_estimators": [5]})
+
+
+@query("randomized_search_whole_text")
+def _(spark, folder):
+    return _text_search(spark, folder, "randomized", {"k": [100], "max_depth": [2, 5], "n_estimators": [5, 10]}, n_iter=2)
+
+
+@query("evolutionary_search_whole_text")
+def _(spark, folder):
+    return _text_search(spark, folder, "evolutionary", {"k": [100], "max_depth": [2, 5], "n_estimators": [4, 8]},
+                        population=4, generations=1)
