@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelloom.llm import (bagminhash, decontam, flat_graph, html_extract, langid, lattice_lm, licenses, packing,
-                           secret_scan, warc)
+                           secret_scan, sharding, warc)
 from labelloom.llm.inputs import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,8 @@ def op9_minhash_dedup(spark, folder):
 @query
 def op10_packing(spark, folder):
     return packing.pack(documents(spark, folder))
+
+
+@query
+def op11_sharding(spark, folder):
+    return sharding.assign(documents(spark, folder))
