@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelloom.llm import (bagminhash, decontam, flat_graph, html_extract, langid, lattice_lm, licenses, packing,
-                           secret_scan, sharding, warc)
+                           lexical_search, secret_scan, sharding, warc)
 from labelloom.llm.inputs import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,11 @@ def op10_packing(spark, folder):
 @query
 def op11_sharding(spark, folder):
     return sharding.assign(documents(spark, folder))
+
+
+@query
+def op13_lexical_search(spark, folder):
+    return lexical_search.search(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+TWINS["op13_lexical_search"] = lexical_search.sql()
