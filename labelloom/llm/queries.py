@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelloom.llm import (bagminhash, decontam, flat_graph, html_extract, langid, lattice_lm, licenses, packing,
-                           lexical_search, secret_scan, sharding, warc)
+                           lexical_search, secret_scan, sharding, token_alignment, warc)
 from labelloom.llm.inputs import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,8 @@ def op13_lexical_search(spark, folder):
 
 
 TWINS["op13_lexical_search"] = lexical_search.sql()
+
+
+@query
+def op12_token_alignment(spark, folder):
+    return token_alignment.align(documents(spark, folder))
