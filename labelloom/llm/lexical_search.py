@@ -21,8 +21,8 @@ Search without scoring every (item, document) pair:
    skipped only when its exact bound is below it, so the top ten (ties by ascending doc_id) are exact.
 
 Defined cases: a null or empty text has no term; a document without terms never ranks; an item without
-terms gets no rows; repeated rows are separate documents, null ids rank last among equal scores; an empty
-table gives no rows; extra columns are ignored.
+terms gets no rows; a document is its id and text: repeated rows (equal id and text) are one document; null
+ids rank last among equal scores; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,23 +45,33 @@ def terms(text: Column) -> Column:
     return F.filter(parts, lambda t: F.length(t) > 0)
 
 
-def postings(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(_row, doc_id, term, tf, impact_base)`` per document and term, and the per-term weights."""
-    rows = scale.stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), terms(F.col("text")).alias("_t"))
-                       .withColumn("_row", F.monotonically_increasing_id()), "search-terms")
-    stats = rows.agg(F.count(F.when(F.size("_t") > 0, 1)).alias("N"), F.sum(F.size("_t")).alias("L")).first()
+def postings(docs: DataFrame, vocab: DataFrame) -> DataFrame:
+    """``(_d, _h, doc_id, term, tf, impact, w)`` for the terms of ``vocab``; statistics over all documents.
+
+    A document is identified by ``_d`` (its id, null as the smallest long) and ``_h`` (hash of id and text);
+    repeated rows count once.
+    """
+    doc_id = F.col("doc_id").cast("long")
+    tok = docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(-(1 << 63))).alias("_d"),
+                      F.xxhash64(doc_id, F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_h"),
+                      terms(F.col("text")).alias("_t")).withColumn("_n", F.size("_t"))
+    ids = scale.stage(tok.groupBy("_d", "_h", "doc_id", "_n").agg(F.count(F.lit(1)).alias("_copies")), "search-docs")
+    stats = ids.agg(F.count(F.when(F.col("_n") > 0, 1)).alias("N"), F.sum("_n").alias("L")).first()
     big_n, big_l = stats["N"], stats["L"] or 0
-    tf = (rows.select("_row", "doc_id", F.size("_t").alias("_n"), F.explode("_t").alias("term"))
-          .groupBy("_row", "doc_id", "_n", "term").agg(F.count(F.lit(1)).alias("tf")))
+    occ = scale.attach(tok.select("_d", "_h", "_n", F.explode("_t").alias("term")), vocab, ["term"],
+                       "left_semi")
+    tf = (occ.groupBy("_d", "_h", "term").agg(F.count(F.lit(1)).alias("_c"))
+          .join(ids, ["_d", "_h"]).withColumn("tf", F.expr("_c div _copies")))
     if big_l == 0:
-        return tf.withColumn("impact", F.lit(0).cast("long")), tf.select("term", F.lit(0).cast("long").alias("w"))
+        return tf.select("_d", "_h", "doc_id", "term", "tf", F.lit(0).cast("long").alias("impact"),
+                         F.lit(0).cast("long").alias("w"))
     m = F.expr(f"25 + CAST((CAST(75 AS DECIMAL(38,0)) * _n * {big_n}) div {big_l} AS BIGINT)")
-    impact = F.expr("(1000000000 * tf) div (1000 * tf + 8 * _m)")
-    post = tf.withColumn("_m", m).withColumn("impact", impact).drop("_m", "_n")
+    post = (tf.withColumn("_m", m).withColumn("impact", F.expr("(1000000000 * tf) div (1000 * tf + 8 * _m)"))
+            .select("_d", "_h", "doc_id", "term", "tf", "impact"))
     weights = (post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
                .select("term", F.floor(1000 * F.log((2.0 * big_n + 2) / (2.0 * F.col("df") + 1))).cast("long")
                        .alias("w")))
-    return post, weights
+    return post.join(weights, "term")
 
 
 def search(docs: DataFrame, items: DataFrame, top: int = TOP, block: int = BLOCK) -> DataFrame:
@@ -69,21 +79,20 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP, block: int = BLOCK
     query = (items.select(F.col("item_id"), F.explode(terms(F.col("text"))).alias("term"))
              .groupBy("item_id", "term").agg(F.count(F.lit(1)).alias("mult")))
     query = scale.stage(query, "search-items")
-    post, weights = postings(docs)
-    vocab = query.select("term").distinct()
     # 1. postings of query terms with their weights
-    hits = scale.stage(post.join(vocab, "term", "left_semi").join(weights, "term"), "search-postings")
+    hits = postings(docs, query.select("term").distinct())
     # 2. blocks of similar documents: ordered by the heaviest query term, cut every ``block`` documents
-    lead = hits.groupBy("_row").agg(F.max(F.struct("w", "term", "impact")).alias("_lead"))
+    lead = hits.groupBy("_d", "_h").agg(F.max(F.struct("w", "term", "impact")).alias("_lead"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col("_lead.w").desc(), F.col("_lead.term"), F.col("_lead.impact").desc(), F.col("_row")]
+    order = [F.col("_lead.w").desc(), F.col("_lead.term"), F.col("_lead.impact").desc(), F.col("_d"),
+             F.col("_h")]
     ordered = (lead.repartitionByRange(parts, *order).sortWithinPartitions(*order)
                .withColumn("_mid", F.monotonically_increasing_id()))
     blocks = scale.stage(ordered.select(
-        "_row", (F.shiftleft(F.shiftright("_mid", 33), 31)
-                 + F.floor(F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)) / block)).cast("long").alias("_block")),
-        "search-blocks")
-    placed = scale.stage(hits.join(blocks, "_row"), "search-placed")
+        "_d", "_h", (F.shiftleft(F.shiftright("_mid", 33), 31)
+                         + F.floor(F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)) / block)).cast("long")
+        .alias("_block")), "search-blocks")
+    placed = scale.stage(hits.join(blocks, ["_d", "_h"]).drop("tf"), "search-placed")
     summary = placed.groupBy("_block", "term", "w").agg(F.max("impact").alias("_max"))
     # 3. bounds of (item, block)
     bounds = scale.stage(query.join(summary, "term")
@@ -92,13 +101,13 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP, block: int = BLOCK
 
     def exact(pairs: DataFrame) -> DataFrame:
         scored = (pairs.join(query, "item_id").join(placed, ["_block", "term"])
-                  .groupBy("item_id", "_row", "doc_id")
+                  .groupBy("item_id", "_d", "_h", "doc_id")
                   .agg(F.sum(F.col("mult") * F.col("w") * F.col("impact")).alias("score")))
         return scored.filter(F.col("score") > 0)
 
     def best(scored: DataFrame) -> DataFrame:
         rank = Window.partitionBy("item_id").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last(),
-                                                     F.col("_row"))
+                                                     F.col("_h"))
         return scored.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= top)
 
     # 4. round one: the best-bounded block of each item gives a threshold
@@ -123,7 +132,7 @@ def brute_force(docs: list[tuple], items: list[tuple], top: int = TOP) -> list[t
     def cut(text):
         return [t for t in split.split((text or "").translate(low)) if t]
 
-    toks = [(d, cut(t)) for d, t in docs]
+    toks = [(d, cut(t)) for d, t in dict.fromkeys(docs)]
     big_n = sum(1 for _, t in toks if t)
     big_l = sum(len(t) for _, t in toks)
     df: dict[str, int] = {}

@@ -14,7 +14,8 @@ def test_equals_brute_force_with_ties_and_odd_rows(spark):
     docs = [(i, " ".join(words[(i * k) % 10] for k in range(1, 2 + i % 7)) + f" N{i % 13}", 0.0) for i in range(400)]
     docs += [(1000 + i, "Alpha BETA, gamma!", None) for i in range(30)]  # equal scores: ties by doc_id
     docs += [(None, "alpha alpha", None), (2 ** 60 + 1, "ALPHA beta", None), (5000, None, None), (5001, "", None),
-             (5002, "naïve café ÄLPHA alpha", None), (5003, "x" * 20000 + " alpha", None)]
+             (5002, "naïve café ÄLPHA alpha", None), (5003, "x" * 20000 + " alpha", None),
+             (5004, "beta gamma", 1.0), (5004, "beta gamma", 2.0)]  # a repeated row is one document
     items = [(1, "alpha beta"), (2, "gamma gamma delta"), (3, None), (4, "nothing-here zzz"), (5, "n3 alpha"),
              (6, "café")]
     got = lexical_search.search(_docs(spark, docs), spark.createDataFrame(items, "item_id long, text string"),
