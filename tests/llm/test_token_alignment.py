@@ -60,8 +60,20 @@ def test_equals_brute_force(spark):
     want.sort(key=lambda r: (r[0] is None, r[0] or 0))
     assert got == want
     assert sum(1 for r in got if r[1] > 0) >= 5
+    for text in TEXTS:
+        res = _brute(sides, text)
+        if res:
+            assert ta.align_one(sides, text)[3].decode() == res[3]
 
 
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert ta.align(df).collect() == []
+
+
+def test_fast_encoder_equals_the_vocabulary_file():
+    sides = ta._Sides.get(None)
+    texts = [t for t in TEXTS if t] + ["   many   spaces\n\n\ttabs ", "<|endoftext|><|startoftext|>", "日本語 😀 x",
+                                        "don't I'll we've 123456 3.14", "a" * 5000]
+    for text in texts:
+        assert sides.fast_a.encode_ordinary(" " + text) == sides.a.encode(" " + text, add_special_tokens=False).ids
