@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from labelloom import scale
 from labelloom.operators import classifiers as C
+from labelloom.operators import growth as G
 from labelloom.operators import metrics as M
 from labelloom.operators.split import folds
 from labelloom.operators.vectors import fit_features
@@ -22,7 +23,14 @@ from labelloom.operators.vectors import fit_features
 CLASSIFIERS = {"extra_trees": C.extra_trees, "random_forest": C.random_forest,
                "random_threshold_trees": C.RandomThresholdTrees,
                "boosted_trees": lambda n_estimators, max_depth, min_samples_leaf: C.BoostedTrees(
-                   n_estimators=n_estimators, max_depth=max_depth, min_samples_leaf=min_samples_leaf)}
+                   n_estimators=n_estimators, max_depth=max_depth, min_samples_leaf=min_samples_leaf),
+               # grown by aggregates: best-first with a leaf limit (bagged), and a random threshold a node
+               "best_first_trees": lambda n_estimators, max_depth, min_samples_leaf, **more: G.GrownForest(
+                   n_estimators, max_depth, min_samples_leaf, splitter="best", bootstrap=True, **more),
+               "random_split_trees": lambda n_estimators, max_depth, min_samples_leaf, **more: G.GrownForest(
+                   n_estimators, max_depth, min_samples_leaf, splitter="random", bootstrap=False, **more)}
+# Only the trees grown by aggregates know these parameters.
+GROWN_ONLY = {"min_samples_split": 2, "max_leaf_nodes": None}
 # What a candidate means where it says nothing.
 DEFAULTS = {"k": 4000, "score": "chi2", "without": "", "classifier": "extra_trees",
             "n_estimators": 200, "max_depth": 10, "min_samples_leaf": 1}
@@ -55,7 +63,14 @@ def candidate_table(spark: SparkSession, candidates: Sequence[dict]) -> DataFram
 
 
 def classifier(params: dict):
-    params = {**DEFAULTS, **params}
+    params = {**DEFAULTS, **GROWN_ONLY, **params}
+    more = {n: (None if params[n] in (None, "None") else int(params[n])) for n in GROWN_ONLY}
+    if params["classifier"] in ("best_first_trees", "random_split_trees"):
+        return CLASSIFIERS[params["classifier"]](params["n_estimators"], params["max_depth"],
+                                                 params["min_samples_leaf"], **more)
+    if more != GROWN_ONLY:
+        raise ValueError(f"{params['classifier']} has no min_samples_split or max_leaf_nodes; "
+                         "use best_first_trees or random_split_trees")
     return CLASSIFIERS[params["classifier"]](params["n_estimators"], params["max_depth"],
                                              params["min_samples_leaf"])
 

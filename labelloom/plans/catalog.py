@@ -1148,6 +1148,23 @@ def _(spark, folder):
     return trained(spark, folder, "boosted_trees", n_estimators=4)
 
 
+@query("leaf_limited_trees", NUMBERED_SQL)
+def _(spark, folder):
+    """Bagged trees grown best first to two leaves, split only where four rows meet: the rule is one split."""
+    return trained(spark, folder, "best_first_trees", n_estimators=4, max_leaf_nodes=2, min_samples_split=4)
+
+
+@query("random_split_trees", NUMBERED_SQL)
+def _(spark, folder):
+    """Extremely randomised trees: a threshold drawn between each node's own minimum and maximum."""
+    return trained(spark, folder, "random_split_trees", n_estimators=4)
+
+
+@query("saved_grown_trees_predict", SAME_SQL)
+def _(spark, folder):
+    return saved_and_loaded(spark, folder, k=20, classifier="best_first_trees", n_estimators=3, max_leaf_nodes=6)
+
+
 def planted_vectors(spark, folder) -> DataFrame:
     docs = planted_terms(spark, folder)
     fitted = V.fit_features(docs, [TERMS], 1)

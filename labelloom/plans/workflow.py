@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from labelloom import scale
 from labelloom.functions import text as T
 from labelloom.operators import classifiers as C
+from labelloom.operators import growth as G
 from labelloom.operators import enrich as E
 from labelloom.operators import metrics as M
 from labelloom.operators import selection as S
@@ -74,11 +75,12 @@ class LabelModel:
         spark = self.features.idf.sparkSession
         self.features.save(f"{folder}/features")
         several = isinstance(self.classifier, C.Ensemble)
-        if several:
+        grown = isinstance(self.classifier, G.GrownTrees)
+        if several or grown:
             self.classifier.save(f"{folder}/classifier")
         else:
             PipelineModel([self.classifier]).write().overwrite().save(f"{folder}/classifier")
-        meta = json.dumps({"classes": self.classes, "params": self.params, "several": several})
+        meta = json.dumps({"classes": self.classes, "params": self.params, "several": several, "grown": grown})
         spark.createDataFrame([(meta,)], "meta string").coalesce(1).write.mode("overwrite").json(
             f"{folder}/model")
 
@@ -86,6 +88,7 @@ class LabelModel:
     def load(cls, spark: SparkSession, folder: str) -> "LabelModel":
         meta = json.loads(spark.read.schema("meta string").json(f"{folder}/model").first()[0])
         classifier = (C.Ensemble.load(spark, f"{folder}/classifier") if meta.get("several")
+                      else G.GrownTrees.load(spark, f"{folder}/classifier") if meta.get("grown")
                       else PipelineModel.load(f"{folder}/classifier").stages[0])
         return cls(V.FittedFeatures.load(spark, f"{folder}/features"), classifier,
                    meta["classes"], meta["params"])
