@@ -79,3 +79,12 @@ def test_vectors_by_known_lengths(docs, k):
     known = {r["Id"]: r["features"].toArray()
              for r in model.transform(once, counts=model.counts, norms=model.norms).collect()}
     assert plain.keys() == known.keys() and all(abs(plain[i] - known[i]).max() < 1e-12 for i in plain)
+
+
+def test_branch_counts_read_their_table_once(spark, docs):
+    """Every branch reads a stored column; a table that is joined together is not made again for each."""
+    rows = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda text: rows.add(1) or text).asNondeterministic()
+    made = docs.withColumn("Text", seen("Text"))
+    FT.branch_counts(made, [WORDS, LIST, CHARS]).collect()
+    assert rows.value == docs.count()
