@@ -27,6 +27,10 @@ ids rank last among equal scores; an empty table gives no rows; extra columns ar
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +41,8 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TOP = 10
 BLOCK = 64
+# Documents whose counted terms leave a counting task together, so that its memory stays small.
+COUNTED_ROWS = 256
 
 
 def terms(text: Column) -> Column:
@@ -45,33 +51,63 @@ def terms(text: Column) -> Column:
     return F.filter(parts, lambda t: F.length(t) > 0)
 
 
-def postings(docs: DataFrame, vocab: DataFrame) -> DataFrame:
-    """``(_d, _h, doc_id, term, tf, impact, w)`` for the terms of ``vocab``; statistics over all documents.
-
-    A document is identified by ``_d`` (its id, null as the smallest long) and ``_h`` (hash of id and text);
-    repeated rows count once.
+def _counter(vocab: frozenset[bytes] | None) -> Callable:
+    """Per row the number of its terms and the counts of those in ``vocab`` (None: all). Separators and capitals
+    are ASCII, so a text is cut as UTF-8 bytes."""
+    cut = bytes(c if c > 0x7F or chr(c).isalnum() else 0x20 for c in range(256))
+    table = cut.translate(bytes.maketrans(UPPER.encode(), LOWER.encode()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, COUNTED_ROWS):
+                batch = whole.slice(at, COUNTED_ROWS)
+                found, tf, ends, n = [], [], [0], []
+                for text in batch.column(3).to_pylist():
+                    parts = text.translate(table).split()
+                    counts = Counter(parts if vocab is None else filter(vocab.__contains__, parts))
+                    n.append(len(parts))
+                    found.extend(counts.keys())
+                    tf.extend(counts.values())
+                    ends.append(len(found))
+                opened = pa.StructArray.from_arrays(
+                    [pa.array(found, pa.binary()).cast(pa.string()), pa.array(tf, pa.int64())], ["term", "tf"])
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:3], pa.array(n, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), opened)],
+                    ["_d", "_h", "doc_id", "_n", "_terms"])
+    return run
+
+
+def counted(docs: DataFrame, vocab: DataFrame) -> DataFrame:
+    """``(_d, _h, doc_id, _n, _terms)``: every document once, with the counts of its terms in ``vocab``.
+
+    A document is identified by ``_d`` (its id, null as the smallest long) and ``_h`` (hash of id and text). Terms
+    are counted inside the row; no occurrence is shuffled. A ``vocab`` too large for a task is joined by
+    :func:`postings` instead.
     """
-    doc_id = F.col("doc_id").cast("long")
-    tok = docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(-(1 << 63))).alias("_d"),
-                      F.xxhash64(doc_id, F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_h"),
-                      terms(F.col("text")).alias("_t")).withColumn("_n", F.size("_t"))
-    ids = scale.stage(tok.groupBy("_d", "_h", "doc_id", "_n").agg(F.count(F.lit(1)).alias("_copies")), "search-docs")
-    stats = ids.agg(F.count(F.when(F.col("_n") > 0, 1)).alias("N"), F.sum("_n").alias("L")).first()
-    big_n, big_l = stats["N"], stats["L"] or 0
-    occ = scale.attach(tok.select("_d", "_h", "_n", F.explode("_t").alias("term")), vocab, ["term"],
-                       "left_semi")
-    tf = (occ.groupBy("_d", "_h", "term").agg(F.count(F.lit(1)).alias("_c"))
-          .join(ids, ["_d", "_h"]).withColumn("tf", F.expr("_c div _copies")))
-    if big_l == 0:
-        return tf.select("_d", "_h", "doc_id", "term", "tf", F.lit(0).cast("long").alias("impact"),
-                         F.lit(0).cast("long").alias("w"))
+    doc_id, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.coalesce(doc_id, F.lit(-(1 << 63))).alias("_d"), F.xxhash64(doc_id, text).alias("_h"),
+                       doc_id.alias("doc_id"), text.cast("binary").alias("_text"))
+    known = frozenset(r["term"].encode() for r in vocab.collect()) if scale.fits(vocab) else None
+    made = rows.mapInArrow(_counter(known), "_d bigint, _h bigint, doc_id bigint, _n bigint, "
+                                            "_terms array<struct<term:string,tf:bigint>>")
+    return scale.stage(made.dropDuplicates(["_d", "_h"]), "search-docs")
+
+
+def postings(docs: DataFrame, vocab: DataFrame) -> DataFrame:
+    """``(_d, _h, doc_id, term, tf, impact, w)`` for the terms of ``vocab``; statistics over all documents."""
+    vocab = scale.pin(vocab)
+    rows = counted(docs, vocab)
+    stats = rows.agg(F.count(F.when(F.col("_n") > 0, 1)).alias("N"), F.sum("_n").alias("L")).first()
+    big_n, big_l = stats["N"], stats["L"] or 1
+    tf = rows.select("_d", "_h", "doc_id", "_n", F.inline("_terms"))
+    if not scale.fits(vocab):
+        tf = scale.attach(tf, vocab, ["term"], "left_semi")
+    weights = scale.pin(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(
+        "term", F.floor(1000 * F.log((2.0 * big_n + 2) / (2.0 * F.col("df") + 1))).cast("long").alias("w")))
     m = F.expr(f"25 + CAST((CAST(75 AS DECIMAL(38,0)) * _n * {big_n}) div {big_l} AS BIGINT)")
     post = (tf.withColumn("_m", m).withColumn("impact", F.expr("(1000000000 * tf) div (1000 * tf + 8 * _m)"))
             .select("_d", "_h", "doc_id", "term", "tf", "impact"))
-    weights = (post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-               .select("term", F.floor(1000 * F.log((2.0 * big_n + 2) / (2.0 * F.col("df") + 1))).cast("long")
-                       .alias("w")))
-    return post.join(weights, "term")
+    return scale.attach(post, weights, ["term"], "inner")
 
 
 def search(docs: DataFrame, items: DataFrame, top: int = TOP, block: int = BLOCK) -> DataFrame:
@@ -79,28 +115,32 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP, block: int = BLOCK
     query = (items.select(F.col("item_id"), F.explode(terms(F.col("text"))).alias("term"))
              .groupBy("item_id", "term").agg(F.count(F.lit(1)).alias("mult")))
     query = scale.stage(query, "search-items")
-    # 1. postings of query terms with their weights
+    # 1. postings of query terms with their weights, gathered per document again
     hits = postings(docs, query.select("term").distinct())
+    gathered = hits.groupBy("_d", "_h", "doc_id").agg(
+        F.collect_list(F.struct("term", "w", "impact")).alias("_hits"), F.max(F.struct("w", "term", "impact")).alias("_lead"))
     # 2. blocks of similar documents: ordered by the heaviest query term, cut every ``block`` documents
-    lead = hits.groupBy("_d", "_h").agg(F.max(F.struct("w", "term", "impact")).alias("_lead"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("_lead.w").desc(), F.col("_lead.term"), F.col("_lead.impact").desc(), F.col("_d"),
              F.col("_h")]
-    ordered = (lead.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    ordered = (gathered.repartitionByRange(parts, *order).sortWithinPartitions(*order)
                .withColumn("_mid", F.monotonically_increasing_id()))
     blocks = scale.stage(ordered.select(
-        "_d", "_h", (F.shiftleft(F.shiftright("_mid", 33), 31)
-                         + F.floor(F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)) / block)).cast("long")
+        "_d", "_h", "doc_id", "_hits", (F.shiftleft(F.shiftright("_mid", 33), 31)
+                                        + F.floor(F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)) / block)).cast("long")
         .alias("_block")), "search-blocks")
-    placed = scale.stage(hits.join(blocks, ["_d", "_h"]).drop("tf"), "search-placed")
+    placed = blocks.select("_d", "_h", "doc_id", "_block", F.inline("_hits"))
     summary = placed.groupBy("_block", "term", "w").agg(F.max("impact").alias("_max"))
     # 3. bounds of (item, block)
-    bounds = scale.stage(query.join(summary, "term")
+    bounds = scale.stage(scale.attach(summary, query, ["term"], "inner")
                          .groupBy("item_id", "_block").agg(F.sum(F.col("mult") * F.col("w") * F.col("_max"))
                                                            .alias("_bound")), "search-bounds")
 
     def exact(pairs: DataFrame) -> DataFrame:
-        scored = (pairs.join(query, "item_id").join(placed, ["_block", "term"])
+        # A document's hits are opened beside the items that want it, so its score is summed where it is read.
+        asked = scale.attach(blocks, scale.stage(pairs, "search-pairs"), ["_block"], "inner")
+        scored = (scale.attach(asked.select("item_id", "_d", "_h", "doc_id", F.inline("_hits")), query,
+                               ["item_id", "term"], "inner")
                   .groupBy("item_id", "_d", "_h", "doc_id")
                   .agg(F.sum(F.col("mult") * F.col("w") * F.col("impact")).alias("score")))
         return scored.filter(F.col("score") > 0)

@@ -1,7 +1,9 @@
 """Ranked lexical search: block-max pruning against scoring every document."""
 
 import duckdb
+from pyspark.sql import functions as F
 
+from labelloom import scale
 from labelloom.llm import lexical_search
 
 
@@ -37,3 +39,22 @@ def test_query_equals_sql(spark, folder):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
     want = sorted(tuple(r) for r in con.execute(lexical_search.sql()).fetchall())
     assert got == want and len(got) > 0
+
+
+def test_texts_are_cut_once(spark):
+    """Postings are gathered and stored once; they were made again for weights, blocks and placing."""
+    rows = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda text: rows.add(1) or text).asNondeterministic()
+    docs = _docs(spark, [(i, f"alpha beta n{i % 5}", 0.0) for i in range(40)]).withColumn("text", seen("text"))
+    items = spark.createDataFrame([(1, "alpha n3")], "item_id long, text string")
+    assert len(lexical_search.search(docs, items, block=4).collect()) == 10
+    assert rows.value == 40
+
+
+def test_vocabulary_beyond_a_broadcast(spark, monkeypatch):
+    docs = [(i, f"Alpha w{i % 9} w{i % 4} w{i % 4}", 0.0) for i in range(60)]
+    items = [(i, f"alpha w{i} w{i + 1}") for i in range(8)]
+    monkeypatch.setattr(scale, "BROADCAST_ROWS", 3)
+    got = lexical_search.search(_docs(spark, docs), spark.createDataFrame(items, "item_id long, text string"),
+                                block=4).collect()
+    assert sorted(tuple(r) for r in got) == sorted(lexical_search.brute_force([d[:2] for d in docs], items))
