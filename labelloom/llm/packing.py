@@ -27,6 +27,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +38,7 @@ from labelloom.llm.inputs import pieces, text_or_empty
 WINDOW, END = 4096, 2
 SHARD_TOKENS = 600_000
 K1, B = 1.2, 0.75
+ENCODED = 2048  # texts encoded together
 CACHE = 1_200_000  # parts of texts whose ids a worker remembers
 VOCABULARY = "word_bpe_49k.json"
 
@@ -46,8 +49,8 @@ def tokenizer_path() -> str:
 
 
 # Words of these letters lower-case one to one, need no other normalisation and are one unit of the vocabulary;
-# so are the marks after them.
-PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+# so are the ASCII marks after them, but for the apostrophe, which may open an ending.
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@[-`{-~]*)")
 
 
 def byte_letters() -> dict[int, str]:
@@ -77,33 +80,49 @@ class Encoder:
     def _slow(self, parts: list[str]) -> list[bytes]:
         return [self._written(e.ids) for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
-    def _plain(self, word: str, marks: str) -> bytes:
-        lower = word.lower()
-        ids = self.known.get(lower)
-        if ids is None:
-            units = lower if lower.isascii() else "".join(map(self.letters.__getitem__, lower.encode()))
-            ids = self.known[lower] = self._written([t.id for t in self.tokenizer.model.tokenize(units)])
-        if marks and marks not in self.marks:
-            self.marks[marks] = self._slow([marks])[0]
-        return ids + self.marks[marks] if marks else ids
-
-    def _learn(self, fresh: set[str]) -> None:
-        rest = []
+    def _learn(self, fresh: list[str]) -> None:
+        known, marks, rest = self.known, self.marks, []
+        tokenize, letters = self.tokenizer.model.tokenize, self.letters
         for p in fresh:
-            if m := PLAIN.fullmatch(p):
-                self.known[p] = self._plain(m[1], m[2])
-            else:
+            m = PLAIN.fullmatch(p)
+            if m is None:
                 rest.append(p)
-        self.known.update(zip(rest, self._slow(rest)))
+                continue
+            word, after = m.groups()
+            lower = word.lower()
+            ids = known.get(lower)
+            if ids is None:
+                units = lower if lower.isascii() else "".join(map(letters.__getitem__, lower.encode()))
+                ids = known[lower] = self._written([t.id for t in tokenize(units)])
+            if after:
+                if after not in marks:
+                    marks[after] = self._slow([after])[0]
+                ids += marks[after]
+            known[p] = ids
+        known.update(zip(rest, self._slow(rest)))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
+        """Arrow cuts the batch into parts and numbers them; only its distinct parts are looked up."""
         known = self.known
         if len(known) > CACHE:
             known.clear()
             self.marks.clear()
-        self._learn({p for ps in parts for p in ps if p not in known})
-        return [np.frombuffer(b"".join([known[p] for p in ps]), self.kind) for ps in parts]
+        parts = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+        coded = parts.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        written = list(map(known.get, words))
+        if None in written:
+            self._learn([p for p, ids in zip(words, written) if ids is None])
+            written = [known[p] if ids is None else ids for p, ids in zip(words, written)]
+        sizes = np.fromiter(map(len, written), np.int64, len(written)) // np.dtype(self.kind).itemsize
+        of = coded.indices.to_numpy()
+        lengths = sizes[of]
+        ends = np.cumsum(lengths)
+        starts = (np.cumsum(sizes) - sizes)[of]
+        # A part's ids follow each other, so a place counts on from where its part starts.
+        places = np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+        ids = np.frombuffer(b"".join(written), self.kind)[places]
+        return np.split(ids, np.append(0, ends)[parts.offsets.to_numpy()[1:-1]]) if texts else []
 
 
 _encoders: dict[str, Encoder] = {}
@@ -116,8 +135,15 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids in order and their counts."""
+    ordered = np.sort(ids, kind="stable")
+    at = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    return ordered[at], np.diff(np.append(at, len(ordered)))
+
+
 def lexical_key(ids: np.ndarray) -> int:
-    rare = np.unique(ids)[-8:].astype(np.uint64)
+    rare = distinct(ids)[0][-8:].astype(np.uint64)
     return int((rare * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(1)).min())
 
 
@@ -126,7 +152,7 @@ def tokenised(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "t
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in pieces(frames, 512):
+        for frame in pieces(frames, ENCODED):
             code = encoder(path)
             ids = [np.append(i, np.array(END, code.kind)) for i in code.encode(list(frame["text"]))]
             yield pd.DataFrame({"doc_id": frame["doc_id"], "ids": [i.tobytes() for i in ids],
@@ -150,7 +176,7 @@ def _frequencies(stored: DataFrame) -> np.ndarray:
                 top = int(ids.max()) + 1
                 if top > len(seen):
                     seen = np.pad(seen, (0, top - len(seen)))
-                seen[np.unique(ids)] += 1
+                seen[distinct(ids)[0]] += 1
         at = np.flatnonzero(seen)
         yield pd.DataFrame({"id": at, "df": seen[at]})
 
@@ -167,7 +193,7 @@ class Index:
     def __init__(self, docs: list[np.ndarray], df: np.ndarray, n_docs: int, mean: float):
         terms, tf, owner = [], [], []
         for d, ids in enumerate(docs):
-            t, c = np.unique(ids, return_counts=True)
+            t, c = distinct(ids)
             terms.append(t), tf.append(c), owner.append(np.full(len(t), d, np.int64))
         self.terms = terms
         term, count, doc = np.concatenate(terms), np.concatenate(tf), np.concatenate(owner)
