@@ -88,3 +88,27 @@ def test_branch_counts_read_their_table_once(spark, docs):
     made = docs.withColumn("Text", seen("Text"))
     FT.branch_counts(made, [WORDS, LIST, CHARS]).collect()
     assert rows.value == docs.count()
+
+
+def test_chi_squared_by_own_frequencies(docs, large, monkeypatch):
+    """Frequencies are counted with the sums: no idf table is joined, rows without a key count for them."""
+    counts, idf = V.fit_idf(docs, [WORDS])
+    known = FT.scaled(counts, idf)
+    get = lambda idf: {r["term"]: r["score"] for r in S.chi2_scores(known, idf, docs).collect()}
+    for side_by_side in (32, 0):
+        monkeypatch.setattr(S, "SIDE_BY_SIDE", side_by_side)
+        joined, own = get(idf), get(None)
+        assert joined.keys() == own.keys() and "only" not in own
+        assert all(own[t] is None if joined[t] is None else abs(own[t] - joined[t]) < 1e-9 for t in joined)
+
+
+def test_ranks_move_rows_once(docs, monkeypatch):
+    def never(*_, **__):
+        raise AssertionError("a window over ranges shuffles every row again")
+
+    monkeypatch.setattr(scale, "running_totals", never)
+    scores = docs.selectExpr("'b' AS branch", "concat(coalesce(Text, ''), coalesce(string(Id), 'x')) AS term", "Id % 3 AS score")
+    got = sorted((r["rank"], r["score"], r["term"]) for r in S.rank_terms(scores).collect())
+    rows = [(r["score"], r["term"]) for r in scores.collect()]
+    rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1]), reverse=True)
+    assert got == [(i + 1, s, t) for i, (s, t) in enumerate(rows)]
