@@ -20,9 +20,8 @@ broken by key and row number; an empty table gives no piece. Extra columns are i
 from __future__ import annotations
 
 import os
-import re
-import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +38,8 @@ WINDOW, END = 4096, 2
 SHARD_TOKENS = 600_000
 K1, B = 1.2, 0.75
 ENCODED = 2048  # texts encoded together
-CACHE = 1_200_000  # parts of texts whose ids a worker remembers
+CACHE = 300_000  # parts of texts whose ids a worker remembers
+MERGED = 50_000  # words that go through the merges together
 VOCABULARY = "word_bpe_49k.json"
 
 
@@ -50,7 +50,7 @@ def tokenizer_path() -> str:
 
 # Words of these letters lower-case one to one, need no other normalisation and are one unit of the vocabulary;
 # so are the ASCII marks after them, but for the apostrophe, which may open an ending.
-PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@[-`{-~]*)")
+PLAIN = r"^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<after>[!-&(-/:-@\[-`{-~]*)$"
 
 
 def byte_letters() -> dict[int, str]:
@@ -60,46 +60,69 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in seen)}
 
 
+def _listed(values: pa.Array) -> list:
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
 class Encoder:
     """Token ids of texts. The vocabulary's rules never join characters across a blank or a line break,
-    so the ids of a text are those of its blank-separated parts; common parts are encoded once. A plain word
-    goes to the tokenizer's merges directly, without the passes that would leave it as it is."""
+    so the ids of a text are those of its blank-separated parts; common parts are encoded once. Plain words
+    go to the tokenizer's merges directly and together, one a line, without the passes that would leave them
+    as they are; the last id of a word tells where it ends."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on every core already
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+        vocabulary = self.merges.get_vocab()
+        self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closing[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
         self.letters = byte_letters()
 
     def _written(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{'H' if self.kind == '<u2' else 'I'}", *ids)
+        return np.array(ids, self.kind).tobytes()
 
     def _slow(self, parts: list[str]) -> list[bytes]:
         return [self._written(e.ids) for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
+    def _merged(self, words: list[str]) -> list[bytes]:
+        """The ids of lower-case plain words."""
+        out, letters = [], self.letters
+        for at in range(0, len(words), MERGED):
+            some = words[at:at + MERGED]
+            lines = "\n".join(some)
+            if not lines.isascii():
+                lines = "\n".join([w if w.isascii() else "".join(map(letters.__getitem__, w.encode())) for w in some])
+            ids = np.array(array("I", self.merges.encode_batch_fast([lines], add_special_tokens=False)[0].ids))
+            ends = ((np.flatnonzero(self.closing[ids]) + 1) * np.dtype(self.kind).itemsize).tolist()
+            if len(ends) != len(some):
+                raise ValueError("the vocabulary does not mark the ends of words")
+            written = ids.astype(self.kind).tobytes()
+            out += [written[i:j] for i, j in zip([0, *ends], ends)]
+        return out
+
     def _learn(self, fresh: list[str]) -> None:
-        known, marks, rest = self.known, self.marks, []
-        tokenize, letters = self.tokenizer.model.tokenize, self.letters
-        for p in fresh:
-            m = PLAIN.fullmatch(p)
-            if m is None:
-                rest.append(p)
-                continue
-            word, after = m.groups()
-            lower = word.lower()
-            ids = known.get(lower)
-            if ids is None:
-                units = lower if lower.isascii() else "".join(map(letters.__getitem__, lower.encode()))
-                ids = known[lower] = self._written([t.id for t in tokenize(units)])
-            if after:
-                if after not in marks:
-                    marks[after] = self._slow([after])[0]
-                ids += marks[after]
-            known[p] = ids
+        known, marks = self.known, self.marks
+        source = pa.array(fresh, pa.string())
+        cut = pc.extract_regex(source, PLAIN)
+        plain = cut.is_valid()
+        rest = _listed(source.filter(pc.invert(plain)))
         known.update(zip(rest, self._slow(rest)))
+        cut = cut.filter(plain)
+        words = pc.utf8_lower(pc.struct_field(cut, "word")).dictionary_encode()
+        after = pc.struct_field(cut, "after").dictionary_encode()
+        kinds = _listed(after.dictionary)
+        new = [a for a in kinds if a and a not in marks]
+        if new:
+            marks.update(zip(new, self._slow(new)))
+        merged, ends = self._merged(_listed(words.dictionary)), [marks[a] if a else b"" for a in kinds]
+        known.update(zip(_listed(source.filter(plain)), [
+            merged[w] + ends[a] for w, a in zip(_listed(words.indices), _listed(after.indices))]))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Arrow cuts the batch into parts and numbers them; only its distinct parts are looked up."""
@@ -109,7 +132,7 @@ class Encoder:
             self.marks.clear()
         parts = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
         coded = parts.flatten().dictionary_encode()
-        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        words = _listed(coded.dictionary)
         written = list(map(known.get, words))
         if None in written:
             self._learn([p for p, ids in zip(words, written) if ids is None])
@@ -142,45 +165,66 @@ def distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ordered[at], np.diff(np.append(at, len(ordered)))
 
 
-def lexical_key(ids: np.ndarray) -> int:
-    rare = distinct(ids)[0][-8:].astype(np.uint64)
-    return int((rare * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(1)).min())
+def _terms(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``distinct`` of many documents that are not empty by one sort: (document, id, count), ordered by both."""
+    sizes = np.fromiter(map(len, docs), np.int64, len(docs))
+    pairs = np.repeat(np.arange(len(docs), dtype=np.uint64) << np.uint64(32), sizes) | np.concatenate(docs)
+    pairs, counts = distinct(pairs)
+    return (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64), counts
+
+
+def lexical_keys(doc: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The key of every document, from its distinct ids in order: the smallest hash among its eight highest ids."""
+    starts = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+    sizes = np.diff(np.append(starts, len(doc)))
+    rare = np.repeat(starts + sizes, sizes) - np.arange(len(doc)) <= 8
+    hashed = ids[rare].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(1)
+    firsts = np.cumsum(np.minimum(sizes, 8)) - np.minimum(sizes, 8)
+    return np.minimum.reduceat(hashed, firsts).astype(np.int64)
 
 
 def tokenised(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, ``ids`` (little-endian, ``width`` bytes each, with the end id), ``n``, ``key``; no row moves."""
+    """``doc_id``, ``ids`` (little-endian, ``width`` bytes each, with the end id), ``n``, ``key``; no row moves.
+
+    After its documents, each task has one row with ``seen`` instead: in how many of them each id occurs."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = np.zeros(0, np.int64)
         for frame in pieces(frames, ENCODED):
             code = encoder(path)
             ids = [np.append(i, np.array(END, code.kind)) for i in code.encode(list(frame["text"]))]
+            if not ids:
+                continue
+            doc, term, _ = _terms(ids)
+            found = np.bincount(term)
+            seen = np.pad(seen, (0, max(0, len(found) - len(seen))))
+            seen[:len(found)] += found
             yield pd.DataFrame({"doc_id": frame["doc_id"], "ids": [i.tobytes() for i in ids],
                                 "width": [i.itemsize for i in ids], "n": [len(i) for i in ids],
-                                "key": [lexical_key(i) for i in ids]})
+                                "key": lexical_keys(doc, term), "seen": None})
+        if len(seen):
+            yield pd.DataFrame({"doc_id": [None], "ids": [None], "width": [None], "n": [None], "key": [None],
+                                "seen": [seen.astype("<i8").tobytes()]}, dtype=object)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"doc_id {kind}, ids binary, width int, n bigint, key bigint")
+    return rows.mapInPandas(run, f"doc_id {kind}, ids binary, width int, n bigint, key bigint, seen binary")
 
 
 def _ids(frame: pd.DataFrame) -> list[np.ndarray]:
     return [np.frombuffer(i, f"<u{w}") for i, w in zip(frame["ids"], frame["width"])]
 
 
-def _frequencies(stored: DataFrame) -> np.ndarray:
-    """Document frequency of every id: as many numbers as the vocabulary has ids, for each task."""
+def _frequencies(seen: DataFrame) -> np.ndarray:
+    """Document frequency of every id, from what the tokenising tasks have counted."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = np.zeros(1 << 16, np.int64)
         for frame in frames:
-            for ids in _ids(frame):
-                top = int(ids.max()) + 1
-                if top > len(seen):
-                    seen = np.pad(seen, (0, top - len(seen)))
-                seen[distinct(ids)[0]] += 1
-        at = np.flatnonzero(seen)
-        yield pd.DataFrame({"id": at, "df": seen[at]})
-
-    rows = stored.select("ids", "width").mapInPandas(run, "id bigint, df bigint")
+            for counts in frame["seen"]:
+                counts = np.frombuffer(counts, "<i8")
+                at = np.flatnonzero(counts)
+                yield pd.DataFrame({"id": at, "df": counts[at]})
+
+    rows = seen.select("seen").mapInPandas(run, "id bigint, df bigint")
     found = rows.groupBy("id").agg(F.sum("df").alias("df")).toPandas()
     out = np.zeros(int(found["id"].max()) + 1 if len(found) else 1, np.int64)
     out[found["id"].to_numpy(np.int64)] = found["df"]
@@ -191,22 +235,19 @@ class Index:
     """An inverted index over the documents of one shard with BM25 weights."""
 
     def __init__(self, docs: list[np.ndarray], df: np.ndarray, n_docs: int, mean: float):
-        terms, tf, owner = [], [], []
-        for d, ids in enumerate(docs):
-            t, c = distinct(ids)
-            terms.append(t), tf.append(c), owner.append(np.full(len(t), d, np.int64))
-        self.terms = terms
-        term, count, doc = np.concatenate(terms), np.concatenate(tf), np.concatenate(owner)
+        doc, term, count = _terms(docs)
+        self.terms = np.split(term, np.flatnonzero(doc[1:] != doc[:-1]) + 1)
         length = np.array([len(i) for i in docs], float)
         idf = np.log1p((n_docs - df[term] + 0.5) / (df[term] + 0.5))
         weight = idf * count * (K1 + 1) / (count + K1 * (1 - B + B * length[doc] / mean))
         order = np.argsort(term, kind="stable")
         self.doc, self.weight, term = doc[order], weight[order], term[order]
-        self.start = np.searchsorted(term, np.arange(int(term[-1]) + 2))
+        self.start = np.searchsorted(term, np.arange(int(term[-1]) + 2)).tolist()
 
     def scores(self, d: int, size: int) -> np.ndarray:
         """BM25 score of every document of the shard for the distinct terms of document ``d``."""
-        spans = [slice(self.start[t], self.start[t + 1]) for t in self.terms[d]]
+        start = self.start
+        spans = [slice(start[t], start[t + 1]) for t in self.terms[d].tolist()]
         return np.bincount(np.concatenate([self.doc[s] for s in spans]),
                            np.concatenate([self.weight[s] for s in spans]), size)
 
@@ -281,11 +322,12 @@ def pack(docs: DataFrame, path: str | None = None, doc_id: str = "doc_id", text:
     made = tokenised(docs, path or tokenizer_path(), doc_id, text)
     kind = made.schema["doc_id"].dataType.simpleString()
     stored = scale.stage(made.withColumn("row", F.monotonically_increasing_id()), "tokens")
-    n_docs, tokens = stored.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    n_docs, tokens = stored.agg(F.count("n"), F.coalesce(F.sum("n"), F.lit(0))).first()
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     schema = f"doc_id {kind}, " + ", ".join(f"`{c}` bigint" for c in names[1:])
     if not n_docs:
         return docs.sparkSession.createDataFrame([], schema)
-    df = _frequencies(stored)
+    df = _frequencies(stored.filter("seen is not null"))
+    stored = stored.filter("n is not null").drop("seen")
     shards = max(1, -(-tokens // shard_tokens))
     return stored.repartitionByRange(shards, "key", "row").mapInPandas(_packer(df, n_docs, tokens / n_docs, names), schema)

@@ -1,5 +1,8 @@
 """Token ids of batches: distinct parts, marks after words."""
 
+from collections import Counter
+
+import numpy as np
 from tokenizers import Tokenizer
 
 from labelloom.llm import packing
@@ -23,3 +26,33 @@ def test_marks_after_a_word_take_no_full_pass(monkeypatch):
     monkeypatch.setattr(own, "_slow", lambda parts: passed.extend(parts) or slow(parts))
     own.encode([" ".join(f"{w}***" for w in ("alpha", "beta", "gamma"))])
     assert passed == ["***"]
+
+
+def test_words_of_a_batch_go_through_the_merges_together(monkeypatch):
+    """Every word was a call of its own; a capital or a mark does not make it another word."""
+    own, passed = packing.Encoder(packing.tokenizer_path()), []
+    merged = own._merged
+    monkeypatch.setattr(own, "_merged", lambda words: passed.append(words) or merged(words))
+    monkeypatch.setattr(packing, "MERGED", 2)
+    text = "École, école zzqxv Zzqxv.** ÿÿ the"
+    plain = Tokenizer.from_file(packing.tokenizer_path())
+    assert [i.tolist() for i in own.encode([text])] == [plain.encode(text, add_special_tokens=False).ids]
+    assert passed == [["école", "zzqxv", "ÿÿ", "the"]]
+
+
+def test_tokenising_counts_documents_per_id(spark):
+    """The frequencies took a pass of their own over all stored ids."""
+    texts = ["a a b", None, "", "b c", "b"] * 3
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(2)
+    made = packing.tokenised(rows, packing.tokenizer_path()).collect()
+    docs = [np.frombuffer(r.ids, f"<u{r.width}") for r in made if r.n is not None]
+    seen = [np.frombuffer(r.seen, "<i8") for r in made if r.n is None]
+    assert len(docs) == len(texts) and all(r.seen is None for r in made if r.n is not None)
+    want = Counter(i for d in docs for i in set(d.tolist()))
+    got = Counter()
+    for counts in seen:
+        got.update({i: int(n) for i, n in enumerate(counts) if n})
+    assert got == want
+    doc, term, count = packing._terms(docs)
+    assert [(d, t, c) for d, t, c in zip(doc, term, count)] == [
+        (d, t, c) for d, ids in enumerate(docs) for t, c in zip(*packing.distinct(ids))]
