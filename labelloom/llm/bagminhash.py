@@ -54,11 +54,14 @@ def _mix(x: np.ndarray) -> np.ndarray:
 GOLDEN = 0x9E3779B97F4A7C15
 
 
+REMEMBERED = 50_000  # words whose hashes a worker keeps; a hash is cheap, and workers keep what they hold
+
+
 class _Numbers(dict):
     """Hashes of words; common ones are computed once for each task."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
+        if len(self) >= REMEMBERED:
             self.clear()
         number = self[word] = xxhash.xxh64_intdigest(word)
         return number

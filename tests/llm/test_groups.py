@@ -145,3 +145,15 @@ def test_robust_prune_keeps_diverse_neighbours():
     points /= np.linalg.norm(points, axis=1)[:, None]
     links = flat_graph.build(points)
     assert set(links[0][links[0] >= 0]) >= {1, 3} and 2 not in links[0][links[0] >= 0]
+
+
+def test_a_worker_keeps_few_word_hashes(monkeypatch):
+    """Up to 500,000 hashed words stayed in every worker, some 100 MB of an executor's memory each."""
+    text = " ".join(f"word{i}" for i in range(60_000))
+    monkeypatch.setattr(bagminhash, "_numbers", bagminhash._Numbers())
+    keys, weights = bagminhash.shingles(text)
+    assert len(bagminhash._numbers) <= 50_000
+    monkeypatch.setattr(bagminhash, "REMEMBERED", 10)
+    monkeypatch.setattr(bagminhash, "_numbers", bagminhash._Numbers())
+    again = bagminhash.shingles(text)
+    assert (again[0] == keys).all() and (again[1] == weights).all() and len(bagminhash._numbers) <= 10
