@@ -156,3 +156,30 @@ def test_feature_counts(docs):
     row = FT.feature_counts(pairs).first()
     assert row["n_features"] == len({t for r in docs.collect() for t in r["Tokens"].split(";")})
     assert row["n_rows"] == 60
+
+
+def test_kept_terms_are_the_wanted_ones_as_often_as_they_occur(spark):
+    docs = spark.createDataFrame([(1, "ab cab  abc é"), (2, None), (3, ""), (4, "ab ab")], "Id int, Text string")
+    chars = FT.Branch("c", "Text", "chars", (2, 4))
+    words = FT.Branch("w", "Text", "words", (1, 2))
+    found = docs.select("Id", FT.kept_terms(chars, [" ab", "ab", " e ", "zz"]).alias("chars"),
+                        FT.kept_terms(words, ["ab", "ab ab", "cab abc"]).alias("words"))
+    rows = {r["Id"]: (sorted(r["chars"]), sorted(r["words"])) for r in found.collect()}
+    assert rows == {1: ([" ab", " ab", " e ", "ab", "ab", "ab"], ["ab", "cab abc"]), 2: ([], []), 3: ([], []),
+                    4: ([" ab", " ab", "ab", "ab"], ["ab", "ab", "ab ab"])}
+
+
+def test_counting_few_items_together_gives_the_same_terms(monkeypatch):
+    import pyarrow as pa
+    items = pa.array([["a b", "c", "a b"], None, [], ["a", "b", "c"], ["é𝒳\0"]], pa.list_(pa.string()))
+    batch = pa.RecordBatch.from_arrays([items], ["items"])
+    for kind, third in (("list", {"a": 1, "b": 1, "c": 1, "a b": 1, "b c": 1}), ("chars", {" a ": 1, " b ": 1, " c ": 1})):
+        for together in (1, 50_000):
+            monkeypatch.setattr(FT, "COUNTED_ITEMS", together)
+            count = FT._counting([FT.Branch("x", "y", kind, (1, 2) if kind == "list" else (3, 4))], 0)
+            counted = [r for b in count(iter([batch])) for r in b.column(1).to_pylist()]
+            counted = [{t["term"]: t["tf"] for t in r} for r in counted]
+            assert counted[1:4] == [{}, {}, third]
+            assert counted[0] == ({"a b": 2, "c": 1, "a b c": 1, "c a b": 1} if kind == "list" else
+                                  {" a ": 2, "a b": 2, " b ": 2, " a b": 2, "a b ": 2, " c ": 1})
+    assert counted[4] == {" é𝒳": 1, "é𝒳\0": 1, "𝒳\0 ": 1, " é𝒳\0": 1, "é𝒳\0 ": 1}
