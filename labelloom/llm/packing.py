@@ -160,7 +160,7 @@ def encoder(path: str) -> Encoder:
 
 def distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct ids in order and their counts."""
-    ordered = np.sort(ids, kind="stable")
+    ordered = np.sort(ids)  # equal ids need no order, and the default sort is several times faster
     at = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
     return ordered[at], np.diff(np.append(at, len(ordered)))
 
@@ -168,9 +168,11 @@ def distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _terms(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``distinct`` of many documents that are not empty by one sort: (document, id, count), ordered by both."""
     sizes = np.fromiter(map(len, docs), np.int64, len(docs))
-    pairs = np.repeat(np.arange(len(docs), dtype=np.uint64) << np.uint64(32), sizes) | np.concatenate(docs)
-    pairs, counts = distinct(pairs)
-    return (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64), counts
+    ids = np.concatenate(docs)
+    # A pair takes four bytes where documents are few and ids are of two.
+    bits, kind = (16, np.uint32) if ids.dtype.itemsize <= 2 and len(docs) <= 1 << 16 else (32, np.uint64)
+    pairs, counts = distinct(np.repeat(np.arange(len(docs), dtype=kind) << kind(bits), sizes) | ids)
+    return (pairs >> kind(bits)).astype(np.int64), (pairs & kind((1 << bits) - 1)).astype(np.int64), counts
 
 
 def lexical_keys(doc: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -240,7 +242,8 @@ class Index:
         length = np.array([len(i) for i in docs], float)
         idf = np.log1p((n_docs - df[term] + 0.5) / (df[term] + 0.5))
         weight = idf * count * (K1 + 1) / (count + K1 * (1 - B + B * length[doc] / mean))
-        order = np.argsort(term, kind="stable")
+        # Ids of two bytes are ordered by counting.
+        order = np.argsort(term.astype(np.uint16) if term.max() < 1 << 16 else term, kind="stable")
         self.doc, self.weight, term = doc[order], weight[order], term[order]
         self.start = np.searchsorted(term, np.arange(int(term[-1]) + 2)).tolist()
 

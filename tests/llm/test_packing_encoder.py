@@ -56,3 +56,13 @@ def test_tokenising_counts_documents_per_id(spark):
     doc, term, count = packing._terms(docs)
     assert [(d, t, c) for d, t, c in zip(doc, term, count)] == [
         (d, t, c) for d, ids in enumerate(docs) for t, c in zip(*packing.distinct(ids))]
+
+
+def test_terms_of_many_or_wide_documents_are_counted_alike():
+    import numpy as np
+    from labelloom.llm import packing
+    dice = np.random.default_rng(5)
+    for kind, n in (("<u2", 50), ("<u4", 50), ("<u2", (1 << 16) + 3)):
+        docs = [dice.choice([0, 1, 2, 40_000, np.iinfo(kind).max], dice.integers(1, 5)).astype(kind) for _ in range(n)]
+        want = [(d, i, c) for d, ids in enumerate(docs) for i, c in zip(*map(np.ndarray.tolist, np.unique(ids, return_counts=True)))]
+        assert list(zip(*map(np.ndarray.tolist, packing._terms(docs)))) == want
