@@ -81,17 +81,18 @@ def test_vectors_are_those_of_the_rows(docs):
 
 
 def test_no_pair_is_written_or_shuffled(docs, monkeypatch):
-    """Neither the stored tables nor the shuffles of weights hold a row per pair or term."""
+    """Neither the stored tables nor the shuffles of weights and chi-squared hold a row per pair or term."""
     stored, plain = [], scale.stage
     monkeypatch.setattr(scale, "stage", lambda *a: stored.append(plain(*a)) or stored[-1])
     monkeypatch.setattr(scale, "BROADCAST_ROWS", 10)
     known = docs.filter("Id IS NOT NULL").dropDuplicates(["Id"])
     counts, idf = V.fit_idf(known, [WORDS, CHARS])
-    weighted = FT.weights(counts, idf)
+    weighted, scores = FT.weights(counts, idf), S.chi2_scores(FT.scaled(counts, idf), None, known)
     terms = idf.count()
-    assert terms < weighted.count() and all(t.count() < terms / 4 for t in stored)
-    plan = weighted._jdf.queryExecution().optimizedPlan().toString()
-    assert "Join" not in plan or "term#" not in plan[plan.index("Join"):]
+    assert 0 < scores.count() <= terms < weighted.count() and all(t.count() < terms / 4 for t in stored)
+    for df in (weighted, scores):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan or "term#" not in plan[plan.index("Join"):]
 
 
 def test_empty_tables(spark):
