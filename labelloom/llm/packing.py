@@ -171,7 +171,7 @@ def _terms(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ids = np.concatenate(docs)
     # A pair takes four bytes where documents are few and ids are of two.
     bits, kind = (16, np.uint32) if ids.dtype.itemsize <= 2 and len(docs) <= 1 << 16 else (32, np.uint64)
-    pairs, counts = distinct(np.repeat(np.arange(len(docs), dtype=kind) << kind(bits), sizes) | ids)
+    pairs, counts = distinct(np.repeat(np.arange(len(docs), dtype=kind) << kind(bits), sizes) | ids.astype(kind, copy=False))
     return (pairs >> kind(bits)).astype(np.int64), (pairs & kind((1 << bits) - 1)).astype(np.int64), counts
 
 
